@@ -1,0 +1,5 @@
+"""No operators: the work covered here is batch only.
+
+Evidence preparation, lexicon scores and entity candidates depend on one row each, so they also accept
+a streaming ``DataFrame`` as it is.
+"""
