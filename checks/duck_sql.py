@@ -535,14 +535,14 @@ _QUERIES: dict[str, str] = {
       SELECT *, CASE WHEN gate_failures = '' THEN 'VALID_FOR_OPERATOR_REVIEW'
                      ELSE 'INVALID_FOR_OPERATOR_REVIEW' END AS run_status
       FROM (SELECT *, {_FAILURES} AS gate_failures FROM (
-        SELECT (SELECT universe_hash FROM hashes WHERE stage = 'evidence') AS universe_hash,
+        SELECT *, sample_video_rate >= 0.9 AS samples_valid, ner_coverage >= 0.9 AS coverage_ok,
+          weak_profiles = 0 AS anchors_ok
+        FROM (SELECT (SELECT universe_hash FROM hashes WHERE stage = 'evidence') AS universe_hash,
           (SELECT count(DISTINCT universe_hash) FROM hashes) = 1 AS hashes_match,
           (SELECT {_rounded('matches / total', 'r')} FROM sample_check) AS sample_video_rate,
           (SELECT {_rounded('coverage', 'c')} FROM qa) AS ner_coverage,
           (SELECT count(*) FROM profiles WHERE anchor_coverage < 0.2 OR anchor_garbage_rate > 0.25)
-            AS weak_profiles,
-          sample_video_rate >= 0.9 AS samples_valid, ner_coverage >= 0.9 AS coverage_ok,
-          weak_profiles = 0 AS anchors_ok))""",
+            AS weak_profiles)))""",
     "card_flags": "SELECT cluster_id, flags, recommended_action FROM flagged",
     "cluster_index": f"""
       SELECT cluster_id, size, {_rounded('coherence', 'coherence_score')},

@@ -206,7 +206,9 @@ def insufficient_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ingested(spark, sf_dir).select(
         "video_id", F.transform("hashtags_list_raw", text.normalize_tag).alias("tags"), "desc_raw"
     )
-    tokens = F.concat(text.topic_tokens(F.col("desc_raw")), text.tag_words(F.col("tags")))
+    tokens = F.concat(
+        text.topic_tokens(text.without_links(F.col("desc_raw"))), text.tag_words(F.col("tags"))
+    )
     kept = rows.select("video_id", text.drop_noise(tokens, SETTINGS.noise).alias("tokens"))
     return kept.select(
         "video_id",
@@ -352,9 +354,10 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def entities_by_video(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = entities.entities_by_video(found_entities(spark, sf_dir))
-    return rows.select(
-        "video_id", F.explode("entities_by_type").alias("entity_type", "entities")
-    ).select("video_id", "entity_type", shown("entities").alias("entities"))
+    entries = explode_items(rows, ["video_id"], F.map_entries("entities_by_type"))
+    return entries.select(
+        "video_id", F.col("item.key").alias("entity_type"), shown("item.value").alias("entities")
+    )
 
 
 @query

@@ -63,6 +63,6 @@ def value_counts(values: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(values) > 0, bind(F.array_sort(values), runs)).otherwise(
+    return F.when(F.size(values) > 0, bind(F.sort_array(values), runs)).otherwise(
         empty_array("struct<value:string,n:bigint>")
     )

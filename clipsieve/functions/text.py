@@ -37,27 +37,29 @@ def drop_noise(tokens: Column, noise: NoiseLists) -> Column:
     return F.filter(tokens, lambda token: ~is_noise(token, noise))
 
 
-def _tokenize(text: Column, rules: TextRules) -> Column:
-    # A token holds neither spaces nor '#', so only an underscore makes normalising change it.
-    tokens = F.regexp_extract_all(text, F.lit(rules.token), F.lit(0))
-    normal = F.transform(
-        tokens, lambda token: F.when(token.contains("_"), normalize_token(token)).otherwise(token)
-    )
-    return F.filter(normal, lambda token: token != "")
+def drop_normal_noise(tokens: Column, noise: NoiseLists) -> Column:
+    """``drop_noise`` for tokens that are in lower case already."""
+    return F.filter(tokens, lambda token: ~is_any_of(token, noise.all_words))
 
 
-def _without_links(desc: Column, rules: TextRules) -> Column:
+def without_links(desc: Column, rules: TextRules = DOCUMENTED) -> Column:
+    """Lower case, with URLs and handles blanked out."""
     return F.regexp_replace(F.regexp_replace(F.lower(desc), URL, " "), rules.handle, " ")
 
 
-def topic_tokens(desc: Column, rules: TextRules = DOCUMENTED) -> Column:
-    """Description tokens without URLs, handles and inline hashtags, noise not yet removed."""
-    return _tokenize(F.regexp_replace(_without_links(desc, rules), rules.inline_tag, " "), rules)
+def lexicon_tokens(plain: Column, rules: TextRules = DOCUMENTED) -> Column:
+    """Tokens of a text ``without_links``, inline hashtags included, noise not yet removed."""
+    # A token holds neither spaces nor '#', so only an underscore makes normalising change it.
+    tokens = F.regexp_extract_all(plain, F.lit(rules.token), F.lit(0))
+    normal = F.transform(
+        tokens, lambda token: F.when(token.contains("_"), normalize_token(token)).otherwise(token)
+    )
+    return F.when(plain.contains("_"), F.filter(normal, lambda token: token != "")).otherwise(tokens)
 
 
-def lexicon_tokens(desc: Column, rules: TextRules = DOCUMENTED) -> Column:
-    """As ``topic_tokens`` but inline hashtags stay."""
-    return _tokenize(_without_links(desc, rules), rules)
+def topic_tokens(plain: Column, rules: TextRules = DOCUMENTED) -> Column:
+    """As ``lexicon_tokens`` but without inline hashtags."""
+    return lexicon_tokens(F.regexp_replace(plain, rules.inline_tag, " "), rules)
 
 
 def tag_words(normal_tags: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,6 +18,8 @@ from clipsieve.settings import Settings
 
 MAX_INSUFFICIENT = 0.5
 MIN_COHERENCE = 0.2
+# Fits that run at once; one fit's short jobs leave cores idle that another can use.
+_PARALLEL_FITS = 4
 
 
 def fit_kmeans(embeddings: DataFrame, settings: Settings) -> KMeansModel:
@@ -28,12 +32,15 @@ def fit_kmeans(embeddings: DataFrame, settings: Settings) -> KMeansModel:
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         k = min(settings.clustering_k, vectors.count()) or 1
-        best = None
-        for start in range(settings.kmeans_starts):
-            fit = KMeans(k=k, seed=settings.random_seed + start, maxIter=300, tol=1e-4).fit(vectors)
-            if best is None or fit.summary.trainingCost < best.summary.trainingCost:
-                best = fit
-        return best
+        estimator = KMeans(k=k, maxIter=300, tol=1e-4)
+        seeds = [settings.random_seed + start for start in range(settings.kmeans_starts)]
+
+        def fit(seed: int) -> KMeansModel:
+            return estimator.copy({estimator.seed: seed}).fit(vectors)
+
+        with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
+            fits = list(pool.map(inheritable_thread_target(embeddings.sparkSession)(fit), seeds))
+        return min(fits, key=lambda model: model.summary.trainingCost)
     finally:
         vectors.unpersist()
 

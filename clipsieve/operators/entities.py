@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clipsieve.functions.arrays import bind, empty_array, explode_items, string_list
 from clipsieve.functions.rules import HANDLE_TAG, PHRASE, RULES, TextRules
 from clipsieve.functions.text import is_noise, normalize_token, strip
-from clipsieve.functions.unicode import nfkc_all
+from clipsieve.functions.unicode import nfkc, nfkc_all
 from clipsieve.functions.vectors import ratio
 from clipsieve.settings import NoiseLists, Settings
 
@@ -42,7 +42,7 @@ def collapse(text: Column, rules: TextRules) -> Column:
 
 
 def canonical(text: Column, rules: TextRules = RULES["documented"]) -> Column:
-    return collapse(F.get(nfkc_all(F.array(text)), F.lit(0)), rules)
+    return collapse(nfkc(text), rules)
 
 
 def reject_reason(
@@ -187,32 +187,49 @@ def entities_by_video(found: DataFrame) -> DataFrame:
 
     Lists keep the order of the text: handles, hashtags, phrases, fields.
     """
-    rows = found.select("run_id", "video_id", _accepted().alias("_ok"), _reject_counts().alias("reject_stats"))
-    by_type = F.transform(
-        F.array_distinct(F.transform("_ok", lambda item: item["type"])),
-        lambda kind: F.struct(
-            kind,
-            F.transform(
-                F.filter("_ok", lambda item: item["type"] == kind), lambda item: item["canon"]
+    def by_type(accepted: Column) -> Column:
+        kinds = F.array_distinct(F.transform(accepted, lambda item: item["type"]))
+        return F.transform(
+            kinds,
+            lambda kind: F.struct(
+                kind,
+                F.transform(
+                    F.filter(accepted, lambda item: item["type"] == kind), lambda item: item["canon"]
+                ),
+            ),
+        )
+
+    row = bind(
+        _accepted(),
+        lambda accepted: F.when(
+            F.size(accepted) > 0,
+            F.struct(
+                F.map_from_entries(by_type(accepted)).alias("entities_by_type"),
+                _reject_counts().alias("reject_stats"),
             ),
         ),
     )
-    return rows.filter(F.size("_ok") > 0).select(
-        "run_id", "video_id", F.map_from_entries(by_type).alias("entities_by_type"), "reject_stats"
+    # As a one-element array the row is built once; a filter would be moved down and judge it twice.
+    return explode_items(found, ["run_id", "video_id"], F.array(row)).select(
+        "run_id", "video_id", "item.*"
     )
 
 
 def reject_counts(found: DataFrame) -> DataFrame:
     """``video_id, reason, n`` for every post with rejected candidates, whether or not others remain."""
-    return found.select("video_id", F.explode(_reject_counts()).alias("reason", "n"))
+    counts = F.transform(
+        F.map_entries(_reject_counts()),
+        lambda entry: F.struct(entry["key"].alias("reason"), entry["value"].alias("n")),
+    )
+    return explode_items(found, ["video_id"], counts).select("video_id", "item.*")
 
 
 def top_reject_reasons(by_video: DataFrame, limit: int = 10) -> DataFrame:
     """Most frequent reject reasons over the posts that have an entity."""
     return (
-        by_video.select(F.explode("reject_stats").alias("reason", "n"))
-        .groupBy("reason")
-        .agg(F.sum("n").alias("n"))
+        explode_items(by_video, [], F.map_entries("reject_stats"))
+        .groupBy(F.col("item.key").alias("reason"))
+        .agg(F.sum("item.value").alias("n"))
         .orderBy(F.desc("n"), F.asc("reason"))
         .limit(limit)
     )

@@ -51,17 +51,17 @@ def prepare_evidence(
     kept = posts.withColumns(
         language_columns(F.col("desc_raw"), settings, detector)
     ).filter("language_keep")
-    tokens = kept.withColumns(
+    cleaned = kept.withColumns(
         {
             "hashtags_list_norm": F.transform("hashtags_list_raw", text.normalize_tag),
-            "_topic": text.topic_tokens(F.col("desc_raw"), rules),
-            "_lexicon": text.lexicon_tokens(F.col("desc_raw"), rules),
+            "_plain": text.without_links(F.col("desc_raw"), rules),
         }
     ).withColumn("_tag_words", text.tag_words(F.col("hashtags_list_norm")))
-    joined = tokens.withColumns(
+    topic = F.concat(text.topic_tokens(F.col("_plain"), rules), "_tag_words")
+    joined = cleaned.withColumns(
         {
-            "_topic_kept": text.drop_noise(F.concat("_topic", "_tag_words"), noise),
-            "_all_tokens": F.concat("_lexicon", "_tag_words"),
+            "_topic_kept": text.drop_normal_noise(topic, noise),
+            "_all_tokens": F.concat(text.lexicon_tokens(F.col("_plain"), rules), "_tag_words"),
         }
     )
     return joined.select(
@@ -79,7 +79,7 @@ def prepare_evidence(
         "language_keep",
         F.array_join("_topic_kept", " ").alias("topic_text"),
         text.entity_text(F.col("desc_raw"), F.col("hashtags_list_raw"), rules).alias("ner_text"),
-        text.drop_noise(F.col("_all_tokens"), noise).alias("lex_tokens"),
+        text.drop_normal_noise(F.col("_all_tokens"), noise).alias("lex_tokens"),
         F.filter("_all_tokens", lambda token: is_any_of(token, noise.platform)).alias("noise_hits"),
         F.lit(settings.text_view_version).alias("text_view_version"),
         insufficient(F.col("_topic_kept"), settings).alias("insufficient_topic_evidence"),
@@ -90,7 +90,10 @@ def prepare_evidence(
 def unfiltered_tokens(evidence: DataFrame, settings: Settings) -> DataFrame:
     """``video_id, tokens``: the lexicon view before noise words are removed."""
     rules = RULES[settings.rules]
+    plain = evidence.select(
+        "video_id", "hashtags_list_norm", text.without_links(F.col("desc_raw"), rules).alias("_plain")
+    )
     tokens = F.concat(
-        text.lexicon_tokens(F.col("desc_raw"), rules), text.tag_words(F.col("hashtags_list_norm"))
+        text.lexicon_tokens(F.col("_plain"), rules), text.tag_words(F.col("hashtags_list_norm"))
     )
-    return evidence.select("video_id", tokens.alias("tokens"))
+    return plain.select("video_id", tokens.alias("tokens"))

@@ -41,8 +41,12 @@ def language_detector(detect: Callable[[str], tuple[str, float]]) -> Detector:
         pairs = [detect(text) if text else ("unknown", 0.0) for text in texts]
         return pd.DataFrame(pairs, columns=["lang", "conf"])
 
+    # Not deterministic for the planner: the language filter is then not moved below the model, where
+    # it would run it a second time.
+    once = guess.asNondeterministic()
+
     def detector(desc: Column) -> Column:
-        return guess(desc)
+        return once(desc)
 
     return detector
 

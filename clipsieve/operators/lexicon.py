@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipsieve.functions.arrays import bind, empty_array, explode_items, is_any_of, string_list, value_counts
-from clipsieve.functions.text import drop_noise
+from clipsieve.functions.text import drop_normal_noise
 from clipsieve.operators.ranking import top_n
 from clipsieve.session import broadcast_if_small
 from clipsieve.settings import Lexicons, Settings
@@ -39,7 +39,7 @@ def scoring_tokens(settings: Settings) -> Column:
     """Noise-free tokens followed by the whole normalised tags, repeated by the hashtag weight."""
     tags = F.filter("hashtags_list_norm", lambda tag: tag != "")
     repeated = F.flatten(F.array_repeat(tags, settings.hashtag_repeat))
-    return F.concat(drop_noise(F.col("lex_tokens"), settings.noise), repeated)
+    return F.concat(drop_normal_noise(F.col("lex_tokens"), settings.noise), repeated)
 
 
 def lexicon_hits(evidence: DataFrame, lexicon: DataFrame, settings: Settings) -> DataFrame:
@@ -162,32 +162,44 @@ def lexicon_scores(evidence: DataFrame, settings: Settings, weight: float = 1.0)
 
 def score_rows(scores: DataFrame, settings: Settings) -> DataFrame:
     """Long form of the score maps: ``video_id, family, label, score``."""
-    families = F.array(
-        *[
-            F.struct(F.lit(family).alias("family"), F.col(f"{family}_scores_raw").alias("scores"))
-            for family in settings.lexicons
-        ]
-    )
-    return scores.select("video_id", F.inline(families)).select(
-        "video_id", "family", F.explode("scores").alias("label", "score")
+    per_family = [
+        F.transform(
+            F.map_entries(f"{family}_scores_raw"), partial(_score_entry, family)
+        )
+        for family in settings.lexicons
+    ]
+    return explode_items(scores, ["video_id"], F.concat(*per_family)).select("video_id", "item.*")
+
+
+def _score_entry(family: str, entry: Column) -> Column:
+    return F.struct(
+        F.lit(family).alias("family"), entry["key"].alias("label"), entry["value"].alias("score")
     )
 
 
 def top_token_rows(scores: DataFrame) -> DataFrame:
     """Long form of the evidence: ``video_id, family, label, rank, token, weight``."""
-    return (
-        scores.select("video_id", F.explode("lexicon_evidence").alias("family", "labels"))
-        .select("video_id", "family", F.explode("labels").alias("label", "tokens"))
-        .select("video_id", "family", "label", F.posexplode("tokens").alias("pos", "item"))
-        .select(
-            "video_id",
-            "family",
-            "label",
-            (F.col("pos") + 1).alias("rank"),
-            F.col("item.token").alias("token"),
-            F.col("item.weight").alias("weight"),
+    entries = F.flatten(
+        F.transform(
+            F.map_entries("lexicon_evidence"),
+            lambda family: F.flatten(
+                F.transform(
+                    F.map_entries(family["value"]),
+                    lambda label: F.transform(
+                        label["value"],
+                        lambda item, pos: F.struct(
+                            family["key"].alias("family"),
+                            label["key"].alias("label"),
+                            (pos + 1).alias("rank"),
+                            item["token"].alias("token"),
+                            item["weight"].alias("weight"),
+                        ),
+                    ),
+                )
+            ),
         )
     )
+    return explode_items(scores, ["video_id"], entries).select("video_id", "item.*")
 
 
 def cluster_sentiment(clusters: DataFrame, scores: DataFrame) -> DataFrame:

@@ -41,14 +41,20 @@ def _first_terms() -> list[Column]:
 def vocabulary(evidence: DataFrame, settings: Settings) -> DataFrame:
     """``term, total, df``: at most ``max_terms`` rows over all topic texts.
 
-    Counting collapses a text to its distinct terms inside the row and sums map-side, so a very
-    frequent term sends one partial sum per task.
+    Every text is followed by its distinct terms: occurrences give the totals and distinct terms the
+    document frequencies, in one pass and one map-side sum. So a very frequent term sends one partial
+    sum per task.
     """
-    counts = value_counts(text.terms(F.col("topic_text")))
+    found = evidence.select(text.terms(F.col("topic_text")).alias("_terms"))
+    listed = found.select(
+        F.size("_terms").alias("_n"),
+        F.posexplode_outer(F.concat("_terms", F.array_distinct("_terms"))).alias("_pos", "term"),
+    )
+    occurrence = F.col("_pos") < F.col("_n")
     return (
-        explode_items(evidence, [], counts)
-        .groupBy(F.col("item.value").alias("term"))
-        .agg(F.sum("item.n").alias("total"), F.count(F.lit(1)).alias("df"))
+        listed.filter(F.col("term").isNotNull())
+        .groupBy("term")
+        .agg(F.count_if(occurrence).alias("total"), F.count_if(~occurrence).alias("df"))
         .orderBy(*_first_terms())
         .limit(settings.max_terms)
     )
