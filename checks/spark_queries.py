@@ -455,7 +455,8 @@ def vocab_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors, names = tfidf.tfidf_vectors(materialize(evidence_rows(spark, sf_dir)), SETTINGS)
     pairs = explode_items(vectors, ["video_id"], F.arrays_zip("indices", "values"))
-    term = F.element_at(F.lit(names), F.col("item.indices") + 1)
+    # Terms hold no spaces; as one literal the list of names is split once, when the plan is made.
+    term = F.element_at(F.split(F.lit(" ".join(names)), " "), F.col("item.indices") + 1)
     return pairs.select("video_id", term.alias("term"), rounded("item.values").alias("weight"))
 
 

@@ -63,6 +63,7 @@ def value_counts(values: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(values) > 0, bind(F.sort_array(values), runs)).otherwise(
-        empty_array("struct<value:string,n:bigint>")
+    none = empty_array("struct<value:string,n:bigint>")
+    return bind(
+        F.sort_array(values), lambda ordered: F.when(F.size(ordered) > 0, runs(ordered)).otherwise(none)
     )

@@ -47,19 +47,23 @@ def without_links(desc: Column, rules: TextRules = DOCUMENTED) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(desc), URL, " "), rules.handle, " ")
 
 
-def lexicon_tokens(plain: Column, rules: TextRules = DOCUMENTED) -> Column:
-    """Tokens of a text ``without_links``, inline hashtags included, noise not yet removed."""
+def _tokens(source: Column, may_hold_underscore: Column, rules: TextRules) -> Column:
     # A token holds neither spaces nor '#', so only an underscore makes normalising change it.
-    tokens = F.regexp_extract_all(plain, F.lit(rules.token), F.lit(0))
+    tokens = F.regexp_extract_all(source, F.lit(rules.token), F.lit(0))
     normal = F.transform(
         tokens, lambda token: F.when(token.contains("_"), normalize_token(token)).otherwise(token)
     )
-    return F.when(plain.contains("_"), F.filter(normal, lambda token: token != "")).otherwise(tokens)
+    return F.when(may_hold_underscore, F.filter(normal, lambda token: token != "")).otherwise(tokens)
+
+
+def lexicon_tokens(plain: Column, rules: TextRules = DOCUMENTED) -> Column:
+    """Tokens of a text ``without_links``, inline hashtags included, noise not yet removed."""
+    return _tokens(plain, plain.contains("_"), rules)
 
 
 def topic_tokens(plain: Column, rules: TextRules = DOCUMENTED) -> Column:
     """As ``lexicon_tokens`` but without inline hashtags."""
-    return lexicon_tokens(F.regexp_replace(plain, rules.inline_tag, " "), rules)
+    return _tokens(F.regexp_replace(plain, rules.inline_tag, " "), plain.contains("_"), rules)
 
 
 def tag_words(normal_tags: Column) -> Column:

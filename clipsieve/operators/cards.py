@@ -9,7 +9,7 @@ from clipsieve.operators.integrity import low_anchor_quality
 from clipsieve.operators.lexicon import cluster_sentiment, lexicon_overlay
 from clipsieve.operators.profiles import cluster_size, sample_rows
 from clipsieve.operators.quantiles import strength_quantiles
-from clipsieve.session import broadcast_if_small
+from clipsieve.session import broadcast_if_small, materialize
 from clipsieve.settings import Settings
 
 EXEMPLAR_LIMIT = 20
@@ -81,10 +81,10 @@ def cluster_index(clusters: DataFrame, profiles: DataFrame, settings: Settings)
 def exemplars(clusters: DataFrame, evidence: DataFrame, limit: int = EXEMPLAR_LIMIT) -> DataFrame:
     """``cluster_id, rank, video_id, snippet, hashtags``; both texts are null without evidence.
 
-    The exemplars (at most ``limit`` per cluster) are few, so they are broadcast into the evidence,
+    The exemplars (at most ``limit`` per cluster) are written once and broadcast into the evidence,
     which is filtered and not shuffled.
     """
-    chosen = sample_rows(clusters, limit)
+    chosen = materialize(sample_rows(clusters, limit))
     texts = (
         evidence.select("video_id", "desc_raw", "hashtags_list_norm")
         .join(broadcast_if_small(chosen.select("video_id")), "video_id", "left_semi")

@@ -19,7 +19,7 @@ from clipsieve.settings import Settings
 MAX_INSUFFICIENT = 0.5
 MIN_COHERENCE = 0.2
 # Fits that run at once; one fit's short jobs leave cores idle that another can use.
-_PARALLEL_FITS = 4
+_PARALLEL_FITS = 10
 
 
 def fit_kmeans(embeddings: DataFrame, settings: Settings) -> KMeansModel:
@@ -71,8 +71,12 @@ def centroids(members: DataFrame) -> DataFrame:
 
 
 def cosine_to_centroid(members: DataFrame) -> DataFrame:
-    """``video_id, cluster_id, cosine`` of every member to its own cluster's mean."""
-    return members.join(centroids(members), "cluster_id").select(
+    """``video_id, cluster_id, cosine`` of every member to its own cluster's mean.
+
+    The means are written first, so that their number can be checked and the members stay in place.
+    """
+    means = broadcast_if_small(materialize(centroids(members)))
+    return members.join(means, "cluster_id").select(
         "video_id", "cluster_id", cosine(F.col("embedding"), F.col("centroid")).alias("cosine")
     )
 

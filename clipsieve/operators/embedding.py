@@ -21,6 +21,8 @@ OVERSAMPLING = 10
 POWER_PASSES = 5
 # Non-zero entries handled at once within a task; bounds the temporary arrays.
 _CHUNK_ENTRIES = 32_768
+# Terms whose partial sums travel as one row.
+_BLOCK_TERMS = 64
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int, int]]:
@@ -70,9 +72,10 @@ def _gram_product(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
     """
     terms, width = basis.shape
 
+    blocks = -(-terms // _BLOCK_TERMS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((terms, width))
-        touched = np.zeros(terms, dtype=bool)
+        total = np.zeros((blocks * _BLOCK_TERMS, width))
         for batch in batches:
             for columns, values, rows, _, count in _chunks(batch):
                 projected = _project_rows(basis, columns, values, rows, count)
@@ -82,20 +85,20 @@ def _gram_product(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
                 if len(ordered):
                     starts = np.flatnonzero(np.diff(ordered, prepend=-1))
                     total[ordered[starts]] += np.add.reduceat(parts, starts)
-                    touched[ordered[starts]] = True
-        found = np.flatnonzero(touched)
+        flat = total.reshape(blocks, _BLOCK_TERMS * width)
+        touched = np.flatnonzero(flat.any(axis=1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(found.astype(np.int32)), _lists(total[found])], names=["term", "part"]
+            [pa.array(touched.astype(np.int32)), _lists(flat[touched])], names=["block", "part"]
         )
 
-    partial = vectors.select("indices", "values").mapInArrow(run, "term int, part array<double>")
-    summed = partial.groupBy("term").agg(
+    partial = vectors.select("indices", "values").mapInArrow(run, "block int, part array<double>")
+    summed = partial.groupBy("block").agg(
         vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part")
     )
-    product = np.zeros((terms, width))
+    product = np.zeros((blocks, _BLOCK_TERMS * width))
     for row in summed.collect():
-        product[row["term"]] = row["part"]
-    return product
+        product[row["block"]] = row["part"]
+    return product.reshape(-1, width)[:terms]
 
 
 def truncated_basis(vectors: DataFrame, terms: int, dims: int, seed: int) -> np.ndarray:

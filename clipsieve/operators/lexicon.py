@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsieve.functions.arrays import bind, empty_array, explode_items, is_any_of, string_list, value_counts
+from clipsieve.functions.arrays import bind, empty_array, explode_items, is_any_of, value_counts
 from clipsieve.functions.text import drop_normal_noise
 from clipsieve.operators.ranking import top_n
 from clipsieve.session import broadcast_if_small
@@ -18,6 +18,7 @@ TOP_TOKENS = 5
 OVERLAY_TOKENS = 5
 LEXICON_COLUMNS = "family string, label string, keyword string, pos int"
 _ENTRIES = "array<struct<family:string,label:string,keyword:string,pos:int>>"
+_ENTRY_FIELDS = ("family", "label", "keyword", "pos")
 _CONTRIBUTION = "struct<family:string,label:string,keyword:string,pos:int,weight:double>"
 
 
@@ -57,12 +58,17 @@ def lexicon_hits(evidence: DataFrame, lexicon: DataFrame, settings: Settings) ->
     )
 
 
+def _constant(rows: list[dict], kind: str) -> Column:
+    """A literal array of structs; parsed once, when the plan is made."""
+    return F.from_json(F.lit(json.dumps(rows)), kind)
+
+
 def _contributions(settings: Settings, weight: float) -> Column:
     """Keywords that occur in the row with their weights, in lexicon order."""
     rows = lexicon_rows(settings.lexicons)
     if not rows:
         return empty_array(_CONTRIBUTION)
-    entries = F.array(*[F.struct(*[F.lit(value) for value in row]) for row in rows]).cast(_ENTRIES)
+    entries = _constant([dict(zip(_ENTRY_FIELDS, row)) for row in rows], _ENTRIES)
     keywords = sorted({keyword for _, _, keyword, _ in rows})
 
     def weigh(counts: Column) -> Column:
@@ -94,14 +100,6 @@ def contributions(evidence: DataFrame, settings: Settings, weight: float = 1.0)
     return evidence.select("run_id", "video_id", _contributions(settings, weight).alias("contributions"))
 
 
-def _of(items: Column, family: str, label: Column) -> Column:
-    return F.filter(items, lambda item: (item["family"] == family) & (item["label"] == label))
-
-
-def _score(items: Column) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda total, item: total + item["weight"])
-
-
 def _top(items: Column) -> Column:
     """Largest weights first, ties by position in the lexicon."""
     ranked = F.array_sort(
@@ -115,43 +113,58 @@ def _top(items: Column) -> Column:
     )
 
 
-def _label_score(items: Column, family: str, label: Column) -> Column:
-    return _score(_of(items, family, label))
-
-
-def _label_top(items: Column, family: str, label: Column) -> Column:
-    return _top(_of(items, family, label))
+def _graded(settings: Settings) -> Column:
+    """Score and top tokens of every label, in the order of the settings."""
+    labels = _constant(
+        [
+            {"family": family, "label": label}
+            for family, names in settings.lexicons.items()
+            for label in names
+        ],
+        "array<struct<family:string,label:string>>",
+    )
 
+    def grade(label: Column) -> Column:
+        own = F.filter(
+            "contributions",
+            lambda item: (item["family"] == label["family"]) & (item["label"] == label["label"]),
+        )
+        return bind(
+            own,
+            lambda items: F.struct(
+                label["label"].alias("label"),
+                F.aggregate(items["weight"], F.lit(0.0), lambda total, w: total + w).alias("score"),
+                _top(items).alias("top"),
+            ),
+        )
 
-def _by_label(names: Column, value: Callable[[Column], Column]) -> Column:
-    return F.map_from_arrays(names, F.transform(names, lambda label: value(label)))
+    return F.transform(labels, grade)
 
 
 def lexicon_scores(evidence: DataFrame, settings: Settings, weight: float = 1.0) -> DataFrame:
     """One row per post: a score map and a top-token map per family, polarity and all evidence.
 
-    Score maps hold every label (0.0 without a hit), top-token maps only labels with hits. Narrow: the
-    labels are literals, so every map is built from the row's own contributions.
+    Score maps hold every label (0.0 without a hit), top-token maps only labels with hits. Narrow: every
+    map is built from the row's own contributions; a family's labels are a fixed slice of the graded ones.
     """
-    found = F.col("contributions")
-    scores, tops, evidence_maps = {}, {}, []
-    for family, labels in settings.lexicons.items():
-        names = string_list(list(labels))
-        scores[family] = _by_label(names, partial(_label_score, found, family))
-        all_labels = _by_label(names, partial(_label_top, found, family))
-        tops[family] = F.map_filter(all_labels, lambda _, items: F.size(items) > 0)
-        evidence_maps += [F.lit(family), all_labels]
-
+    columns, evidence_maps, start = [], [], 1
     polarity = F.lit(0.0)
-    if "sentiment" in settings.lexicons:
-        polarity = _score(_of(found, "sentiment", F.lit("positive"))) - _score(
-            _of(found, "sentiment", F.lit("negative"))
-        )
-    columns = []
-    for family in settings.lexicons:
-        columns.append(scores[family].alias(f"{family}_scores_raw"))
-        columns.append(tops[family].alias(f"{family}_top_tokens"))
-    return contributions(evidence, settings, weight).select(
+    for family, labels in settings.lexicons.items():
+        part = F.slice("_graded", start, len(labels))
+        start += len(labels)
+        scores = F.map_from_arrays(part["label"], part["score"])
+        tops = F.map_from_arrays(part["label"], part["top"])
+        columns.append(scores.alias(f"{family}_scores_raw"))
+        columns.append(F.map_filter(tops, lambda _, items: F.size(items) > 0).alias(f"{family}_top_tokens"))
+        evidence_maps += [F.lit(family), tops]
+        if family == "sentiment":
+            positive, negative = (
+                F.coalesce(F.try_element_at(scores, F.lit(name)), F.lit(0.0))
+                for name in ("positive", "negative")
+            )
+            polarity = positive - negative
+    graded = contributions(evidence, settings, weight).withColumn("_graded", _graded(settings))
+    return graded.select(
         "run_id",
         "video_id",
         *columns,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +21,27 @@ _SESSION_OPTIONS = {
 }
 
 
+_PACKAGE = Path(__file__).resolve().parent
+_shipped_to: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped_to:
+        return
+    folder = tempfile.mkdtemp(prefix="clipsieve-")
+    archive = shutil.make_archive(
+        f"{folder}/clipsieve-package", "zip", root_dir=_PACKAGE.parent, base_dir=_PACKAGE.name
+    )
+    context.addPyFile(archive)
+    _shipped_to.add(context.applicationId)
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Set the runtime options that the results depend on; call before building any stage."""
+    """Set the runtime options that the results depend on and make the package known to the workers;
+    call before building any stage."""
+    _ship_package(spark)
     for key, value in _SESSION_OPTIONS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
