@@ -18,6 +18,15 @@ TABLES = (
 ).split()
 
 
+_SQL_TYPES = {
+    "VARCHAR": "string",
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+}
+
+
 def session(cores: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -61,6 +70,11 @@ def compare(spark: SparkSession, connection, name: str, sf_dir: str) -> str:
         return f"rows only: {len(left)}"
     cursor = connection.execute(SQL[name])
     names = [column[0] for column in cursor.description]
+    kinds = {column[0]: _SQL_TYPES.get(str(column[1]), str(column[1])) for column in cursor.description}
+    spark_kinds = dict(frame.dtypes)
+    wrong = {n: (spark_kinds.get(n), kind) for n, kind in kinds.items() if spark_kinds.get(n) != kind}
+    if wrong:
+        return f"types differ: {wrong}"
     right = _sorted_rows(names, cursor.fetchall())
     if sorted(frame.columns) != sorted(names):
         return f"columns differ: {sorted(frame.columns)} / {sorted(names)}"

@@ -173,12 +173,14 @@ def mentions(found: DataFrame) -> DataFrame:
 
 def _reject_counts() -> Column:
     reasons = string_list(REJECT_REASONS)
-    counts = F.transform(
-        reasons,
-        lambda reason: F.size(
-            F.filter("candidates", lambda item: item["reason"] == reason)
-        ).cast("bigint"),
-    )
+
+    def count(found: Column) -> Column:
+        return F.transform(
+            reasons,
+            lambda reason: F.size(F.filter(found, lambda item: item["reason"] == reason)).cast("bigint"),
+        )
+
+    counts = bind(F.col("candidates"), count)
     return F.map_filter(F.map_from_arrays(reasons, counts), lambda _, n: n > 0)
 
 

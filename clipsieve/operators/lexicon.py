@@ -124,9 +124,9 @@ def _graded(settings: Settings) -> Column:
         "array<struct<family:string,label:string>>",
     )
 
-    def grade(label: Column) -> Column:
+    def grade(found: Column, label: Column) -> Column:
         own = F.filter(
-            "contributions",
+            found,
             lambda item: (item["family"] == label["family"]) & (item["label"] == label["label"]),
         )
         return bind(
@@ -138,7 +138,9 @@ def _graded(settings: Settings) -> Column:
             ),
         )
 
-    return F.transform(labels, grade)
+    return bind(
+        F.col("contributions"), lambda found: F.transform(labels, lambda label: grade(found, label))
+    )
 
 
 def lexicon_scores(evidence: DataFrame, settings: Settings, weight: float = 1.0) -> DataFrame:

@@ -25,7 +25,7 @@ def write_profiles(profiles: DataFrame, path: str) -> None:
 
 def write_index(index: DataFrame, path: str) -> None:
     """One CSV file, ordered by action; the table has one row per cluster."""
-    ordered = index.coalesce(1).sortWithinPartitions("recommended_action", "cluster_id")
+    ordered = index.repartition(1).sortWithinPartitions("recommended_action", "cluster_id")
     ordered.write.mode("overwrite").csv(path, header=True)
 
 
@@ -38,7 +38,7 @@ def write_cards(card_rows: DataFrame, path: str) -> None:
 
 def write_report(report: DataFrame, path: str) -> None:
     """One text file; a report has a few dozen lines."""
-    lines = report.coalesce(1).sortWithinPartitions("section", "ord").select("line")
+    lines = report.repartition(1).sortWithinPartitions("section", "ord").select("line")
     lines.write.mode("overwrite").text(path)
 
 

@@ -1,6 +1,7 @@
 """Tag lists, dates and column resolution against hand-made values."""
 
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 
 from clipsieve.functions.challenges import parse_challenges
 from clipsieve.functions.dates import epoch_seconds, utc_date
+from clipsieve.session import clear_stages, materialize
 from clipsieve.sources import posts
 
 
@@ -108,3 +110,17 @@ def test_nested_challenges_are_kept_as_json(spark):
     raw = spark.createDataFrame([("a", ["x", "y"])], "id string, hashtags array<string>")
     row = posts.ingest(raw).first()
     assert (row["challenges_raw"], row["hashtags_list_raw"]) == ('["x","y"]', ["x", "y"])
+
+
+def test_scan_reads_any_format(spark, tmp_path):
+    spark.createDataFrame([("a", "t")], "id string, desc string").write.json(f"{tmp_path}/posts")
+    rows = posts.ingest(posts.scan(spark, f"{tmp_path}/posts", "json"))
+    assert [(row["video_id"], row["desc_raw"]) for row in rows.collect()] == [("a", "t")]
+
+
+def test_stages_can_be_cleared(spark):
+    kept = materialize(spark.range(3))
+    folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert Path(folder).exists()
+    clear_stages(spark)
+    assert not Path(folder).exists()

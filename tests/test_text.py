@@ -127,3 +127,9 @@ def test_value_counts(values):
         [],
         [("x", 1)],
     ]
+
+
+def test_literal_views(spark):
+    row = evidence(spark, [("1", "wow it's #new @x\\y", "tag")], Settings(rules="literal")).first()
+    assert row["topic_text"] == "w w ' w tag"
+    assert row["ner_text"] == "wow it's #new <HANDLE>@x\\y</HANDLE> [HASHTAG: tag]"
