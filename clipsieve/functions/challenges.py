@@ -19,26 +19,31 @@ def _non_empty(tags: Column) -> Column:
 
 def _truthy_variant(value: Column) -> Column:
     """Text of a JSON value, or null where the value counts as false (0, "", [], {}, false, null)."""
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
-    nested = kind.startswith("ARRAY") | kind.startswith("OBJECT")
-    return (
-        F.when(kind == "STRING", F.nullif(text, F.lit("")))
-        .when(kind == "BOOLEAN", F.when(text == "true", F.lit("True")))
-        .when(kind == "VOID", F.lit(None).cast("string"))
-        .when(nested, F.when(~text.isin("[]", "{}"), text))
-        .otherwise(F.when(F.try_variant_get(value, "$", "double") != 0, text))
-    )
+
+    def by_first_character(written: Column) -> Column:
+        first = F.left(written, F.lit(1))
+        return (
+            F.when(first == '"', F.nullif(F.try_variant_get(value, "$", "string"), F.lit("")))
+            .when(first == "t", F.lit("True"))
+            .when(first.isin("f", "n"), F.lit(None).cast("string"))
+            .when(first.isin("[", "{"), F.when(~written.isin("[]", "{}"), written))
+            .otherwise(
+                F.when(
+                    F.try_variant_get(value, "$", "double") != 0,
+                    F.try_variant_get(value, "$", "string"),
+                )
+            )
+        )
+
+    return bind(F.to_json(value), by_first_character)
 
 
 def _tag_of_item(item: Column) -> Column:
-    kind = F.schema_of_variant(item)
+    first = F.left(F.to_json(item), F.lit(1))
     named = F.coalesce(
         *[bind(F.try_variant_get(item, f"$.{key}", "variant"), _truthy_variant) for key in TAG_KEYS]
     )
-    return F.when(kind == "STRING", F.try_variant_get(item, "$", "string")).when(
-        kind.startswith("OBJECT"), named
-    )
+    return F.when(first == '"', F.try_variant_get(item, "$", "string")).when(first == "{", named)
 
 
 def _from_text(value: Column) -> Column:

@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsieve.functions.arrays import bind, empty_array, explode_items, is_any_of, value_counts
+from clipsieve.functions.arrays import bind, empty_array, explode_items, is_any_of, string_list, value_counts
 from clipsieve.functions.text import drop_normal_noise
 from clipsieve.operators.ranking import top_n
 from clipsieve.session import broadcast_if_small
@@ -19,6 +19,7 @@ OVERLAY_TOKENS = 5
 LEXICON_COLUMNS = "family string, label string, keyword string, pos int"
 _ENTRIES = "array<struct<family:string,label:string,keyword:string,pos:int>>"
 _ENTRY_FIELDS = ("family", "label", "keyword", "pos")
+_TOKEN = "struct<token:string,weight:double>"
 _CONTRIBUTION = "struct<family:string,label:string,keyword:string,pos:int,weight:double>"
 
 
@@ -70,6 +71,13 @@ def _contributions(settings: Settings, weight: float) -> Column:
         return empty_array(_CONTRIBUTION)
     entries = _constant([dict(zip(_ENTRY_FIELDS, row)) for row in rows], _ENTRIES)
     keywords = sorted({keyword for _, _, keyword, _ in rows})
+    noise = set(settings.noise.all_words)
+    # The scoring tokens that are keywords; a keyword that is also noise counts only as a tag.
+    words = F.filter(
+        "lex_tokens", lambda token: is_any_of(token, [word for word in keywords if word not in noise])
+    )
+    tags = F.filter("hashtags_list_norm", lambda tag: is_any_of(tag, keywords))
+    found = F.concat(words, F.flatten(F.array_repeat(tags, settings.hashtag_repeat)))
 
     def weigh(counts: Column) -> Column:
         weighted = F.transform(
@@ -90,9 +98,7 @@ def _contributions(settings: Settings, weight: float) -> Column:
         counts = F.map_from_entries(value_counts(hits))
         return F.when(F.size(hits) > 0, bind(counts, weigh)).otherwise(empty_array(_CONTRIBUTION))
 
-    return bind(
-        F.filter(scoring_tokens(settings), lambda token: is_any_of(token, keywords)), weigh_hits
-    )
+    return bind(found, weigh_hits)
 
 
 def contributions(evidence: DataFrame, settings: Settings, weight: float = 1.0) -> DataFrame:
@@ -114,7 +120,7 @@ def _top(items: Column) -> Column:
 
 
 def _graded(settings: Settings) -> Column:
-    """Score and top tokens of every label, in the order of the settings."""
+    """Score and top tokens of every label, in the order of the settings; null without any hit."""
     labels = _constant(
         [
             {"family": family, "label": label}
@@ -138,9 +144,10 @@ def _graded(settings: Settings) -> Column:
             ),
         )
 
-    return bind(
+    graded = bind(
         F.col("contributions"), lambda found: F.transform(labels, lambda label: grade(found, label))
     )
+    return F.when(F.size("contributions") > 0, graded)
 
 
 def lexicon_scores(evidence: DataFrame, settings: Settings, weight: float = 1.0) -> DataFrame:
@@ -149,29 +156,38 @@ def lexicon_scores(evidence: DataFrame, settings: Settings, weight: float = 1.0)
     Score maps hold every label (0.0 without a hit), top-token maps only labels with hits. Narrow: every
     map is built from the row's own contributions; a family's labels are a fixed slice of the graded ones.
     """
-    columns, evidence_maps, start = [], [], 1
+    hit = F.col("_graded").isNotNull()
+    columns, found_maps, empty_maps, start = [], [], [], 1
     polarity = F.lit(0.0)
     for family, labels in settings.lexicons.items():
         part = F.slice("_graded", start, len(labels))
         start += len(labels)
+        # Rows without a hit, the most frequent kind, take maps that are constants of the plan.
+        names = string_list(list(labels))
+        zeros = F.map_from_arrays(names, F.array_repeat(F.lit(0.0), len(labels)))
+        no_tokens = F.map_from_arrays(names, F.array_repeat(empty_array(_TOKEN), len(labels)))
         scores = F.map_from_arrays(part["label"], part["score"])
         tops = F.map_from_arrays(part["label"], part["top"])
-        columns.append(scores.alias(f"{family}_scores_raw"))
-        columns.append(F.map_filter(tops, lambda _, items: F.size(items) > 0).alias(f"{family}_top_tokens"))
-        evidence_maps += [F.lit(family), tops]
+        with_hits = F.map_filter(tops, lambda _, items: F.size(items) > 0)
+        no_labels = F.create_map().cast(f"map<string,array<{_TOKEN}>>")
+        columns.append(F.when(hit, scores).otherwise(zeros).alias(f"{family}_scores_raw"))
+        columns.append(F.when(hit, with_hits).otherwise(no_labels).alias(f"{family}_top_tokens"))
+        found_maps += [F.lit(family), tops]
+        empty_maps += [F.lit(family), no_tokens]
         if family == "sentiment":
             positive, negative = (
                 F.coalesce(F.try_element_at(scores, F.lit(name)), F.lit(0.0))
                 for name in ("positive", "negative")
             )
-            polarity = positive - negative
+            polarity = F.when(hit, positive - negative).otherwise(F.lit(0.0))
+    all_evidence = F.when(hit, F.create_map(*found_maps)).otherwise(F.create_map(*empty_maps))
     graded = contributions(evidence, settings, weight).withColumn("_graded", _graded(settings))
     return graded.select(
         "run_id",
         "video_id",
         *columns,
         polarity.alias("sentiment_polarity"),
-        F.create_map(*evidence_maps).alias("lexicon_evidence"),
+        all_evidence.alias("lexicon_evidence"),
     )
 
 

@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipsieve.functions import text
-from clipsieve.functions.arrays import explode_items, is_any_of, value_counts
+from clipsieve.functions.arrays import is_any_of
 from clipsieve.operators.ranking import top_n
 from clipsieve.session import broadcast_if_small, materialize
 from clipsieve.settings import Settings
 
 KEYWORD_LIMIT = 15
+# A space-separated word and its immediate repetitions.
+_RUN = r"(?<![^ ])([^ ]+)(?: \1(?![^ ]))*"
 # Scores are compared at this many decimals, so that the order in which partial sums are added
 # cannot change the ranking of equal terms.
 _SCORE_DECIMALS = 10
@@ -96,24 +98,40 @@ def tfidf_vectors(evidence: DataFrame, settings: Settings) -> tuple[DataFrame, l
     )
 
 
-def _cluster_terms(texts: DataFrame, stop_words: Sequence[str]) -> DataFrame:
-    """``cluster_id, video_id, view, term, n`` of the description and hashtag texts, in one pass."""
+def _term_runs(source: Column) -> Column:
+    """Each distinct term of a text, repeated as often as it occurs: "car", "race race", …
 
-    def counted(source: Column, view: str) -> Column:
-        kept = F.filter(text.terms(source), lambda term: ~is_any_of(term, stop_words))
-        return F.transform(
-            value_counts(kept),
-            lambda item: F.struct(
-                F.lit(view).alias("view"), item["value"].alias("term"), item["n"].alias("n")
-            ),
-        )
+    Terms hold no spaces, so equal neighbours of the sorted terms are found by a back reference. This
+    counts inside the row with compiled functions only.
+    """
+    ordered = F.array_join(F.sort_array(text.terms(source)), " ")
+    return F.regexp_extract_all(ordered, F.lit(_RUN), F.lit(0))
 
-    both = F.concat(
-        counted(F.col("topic_text"), "desc"),
-        counted(F.array_join("hashtags_list_norm", " "), "hashtags"),
+
+def _cluster_terms(texts: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """``cluster_id, video_id, view, term, n`` of the description and hashtag texts, in one pass."""
+    counted = texts.select(
+        "cluster_id",
+        "video_id",
+        _term_runs(F.col("topic_text")).alias("_desc"),
+        _term_runs(F.array_join("hashtags_list_norm", " ")).alias("_tags"),
+    )
+    listed = counted.select(
+        "cluster_id",
+        "video_id",
+        F.size("_desc").alias("_first_tag"),
+        F.posexplode_outer(F.concat("_desc", "_tags")).alias("_pos", "_run"),
+    ).filter(F.col("_run").isNotNull())
+    terms = listed.select(
+        "cluster_id",
+        "video_id",
+        F.when(F.col("_pos") < F.col("_first_tag"), F.lit("desc")).otherwise(F.lit("hashtags")).alias("view"),
+        F.substring_index("_run", " ", 1).alias("term"),
+        (F.length("_run") + 1).alias("_length"),
     )
-    return explode_items(texts, ["cluster_id", "video_id"], both).select(
-        "cluster_id", "video_id", "item.view", "item.term", "item.n"
+    times = (F.col("_length") / (F.length("term") + 1)).cast("bigint")
+    return terms.filter(~is_any_of(F.col("term"), stop_words)).select(
+        "cluster_id", "video_id", "view", "term", times.alias("n")
     )
 
 
