@@ -60,14 +60,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def _stage_root(spark: SparkSession) -> str:
+def stage_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/stages-{spark.sparkContext.applicationId}"
 
 
 def clear_stages(spark: SparkSession) -> None:
     """Remove what ``materialize`` wrote in this application. Call when no result is still to be read."""
     context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+    path = context._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -78,7 +78,7 @@ def materialize(df: DataFrame) -> DataFrame:
     is lost costs only a re-read, and each pass prunes to the columns that it needs.
     """
     spark = df.sparkSession
-    path = f"{_stage_root(spark)}/{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
