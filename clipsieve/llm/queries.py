@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsieve.llm import byte_bpe, language, packing, quality, token_files
+from clipsieve.llm import byte_bpe, language, packing, pii, quality, substring_dedup, suffix_dedup, token_files
 from clipsieve.session import prepare_session
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "bits")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=2)
 
@@ -51,12 +55,27 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(docs)
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substring_dedup.remove_repeats(docs)
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_language": op2_language,
+    "op3_pii": op3_pii,
     "op4_packing": op4_packing,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 SQL: dict[str, str] = {}
