@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsieve.llm import byte_bpe, language, packing, pii, quality, substring_dedup, suffix_dedup, token_files
+from clipsieve.llm import byte_bpe, language, neighbours, packing, pii, quality, simhash, substring_dedup, suffix_dedup, token_files
 from clipsieve.session import prepare_session
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +26,10 @@ def held_out(doc_id="doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(~held_out()))
@@ -46,6 +50,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest_documents(docs, BYTE_VOCABULARY, public_tokenizers.PATTERN)
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = token_files.write_tokens(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=1)
     return token_files.read_documents(chunks)
@@ -68,10 +76,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_language": op2_language,
     "op3_pii": op3_pii,
     "op4_packing": op4_packing,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_neighbours": op6_neighbours,
     "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
     "op9_suffix_dedup": op9_suffix_dedup,

@@ -5,7 +5,8 @@ fixed number of ids (the last of a shard fewer). Its ids are transposed into bit
 lowest first, each padded to whole bytes) or byte planes; every plane is compressed alone with zstandard and
 the compressed planes follow one another in ``payload``. The chunk index is the columns beside it:
 ``shard, chunk, first`` (ids of the shard before it), ``n_ids``, ``plane_bytes`` (compressed length of each
-plane), ``doc_ids, doc_lengths`` (documents that begin in the chunk).
+plane), ``doc_ids, doc_lengths, doc_firsts`` (documents that have ids in the chunk, their ids in all, and the
+ids of the shard before them). So a chunk can be read alone.
 """
 
 from __future__ import annotations
@@ -27,9 +28,10 @@ LEVEL = 3
 
 _CHUNKS = (
     "shard long, chunk long, first long, n_ids long, plane_bytes array<int>, payload binary, "
-    "doc_ids array<long>, doc_lengths array<long>"
+    "doc_ids array<long>, doc_lengths array<long>, doc_firsts array<long>"
 )
-_DOCS = "shard long, doc_id long, first long, n_tokens long, ids_crc32 long"
+_PARTS = "shard long, first long, chunk long, doc_id long, n_tokens long, ids_crc32 long, ids binary"
+_DOCS = "shard long, first long, doc_id long, n_tokens long, ids_crc32 long"
 
 
 def to_planes(ids: np.ndarray, bits: int, plane: str = "bit") -> list[bytes]:
@@ -84,6 +86,7 @@ def write_tokens(
                 "shard": [shard], "chunk": [chunk], "first": [done], "n_ids": [n],
                 "plane_bytes": [[len(p) for p in planes]], "payload": [b"".join(planes)],
                 "doc_ids": [[d for d, _, _ in docs_here]], "doc_lengths": [[k for _, k, _ in docs_here]],
+                "doc_firsts": [[f for _, _, f in docs_here]],
             }
             return pa.RecordBatch.from_pydict(row, schema=schema), n
 
@@ -94,7 +97,7 @@ def write_tokens(
                 held += data
                 while len(held) >= size:
                     here = [s for s in starts if s[2] < done + chunk_ids]
-                    starts = starts[len(here) :]
+                    starts = [s for s in starts if s[1] + s[2] > done + chunk_ids]
                     out, n = pack(bytes(held[:size]), here)
                     yield out
                     del held[:size]
@@ -122,37 +125,49 @@ def read_chunk(row: dict) -> np.ndarray:
 
 def read_documents(chunks: DataFrame) -> DataFrame:
     """One row per document of written files: ``doc_id, start`` (ids of all documents before it),
-    ``n_tokens`` and ``ids_crc32`` (of its ids as little-endian unsigned 32-bit integers)."""
-    schema = to_arrow(_parsed(_DOCS))
+    ``n_tokens`` and ``ids_crc32`` (of its ids as little-endian unsigned 32-bit integers).
 
-    def run(batches):
+    Chunks are read where they lie. Only of a document in several chunks do the ids move, to be joined.
+    """
+    parts_schema, docs_schema = to_arrow(_parsed(_PARTS)), to_arrow(_parsed(_DOCS))
+
+    def rows_of(out, schema):
         import pyarrow as pa
 
-        waiting, shard, position, left, crc = [], None, 0, 0, 0  # documents begun, the first being read
+        columns = map(list, zip(*out)) if out else [[] for _ in schema.names]
+        return pa.RecordBatch.from_pydict(dict(zip(schema.names, columns)), schema=schema)
+
+    def read(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, out = read_chunk(row), []
+                for doc_id, length, first in zip(row["doc_ids"], row["doc_lengths"], row["doc_firsts"]):
+                    begin, end = first - row["first"], first - row["first"] + length
+                    part = ids[max(begin, 0) : end]
+                    whole = len(part) == length
+                    out.append((
+                        row["shard"], first, row["chunk"], doc_id, length,
+                        zlib.crc32(part) if whole else None, None if whole else part.tobytes(),
+                    ))
+                yield rows_of(out, parts_schema)
+
+    def join(batches):
+        crc, left = 0, 0
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                if row["shard"] != shard:
-                    waiting, shard, position, left, crc = [], row["shard"], 0, 0, 0
-                waiting += zip(row["doc_ids"], row["doc_lengths"])
-                ids, at = read_chunk(row), 0
-                while at < len(ids):
-                    doc_id, length = waiting[0]
-                    left = left or length
-                    take = min(left, len(ids) - at)
-                    crc = zlib.crc32(ids[at : at + take], crc)
-                    at, left = at + take, left - take
-                    if not left:
-                        out.append((shard, doc_id, position, length, crc))
-                        position, crc = position + length, 0
-                        del waiting[0]
-            names = schema.names
-            yield pa.RecordBatch.from_pydict(
-                dict(zip(names, map(list, zip(*out)))) if out else {n: [] for n in names}, schema=schema
-            )
-
-    ordered = chunks.repartition("shard").sortWithinPartitions("shard", "chunk")
-    docs = ordered.mapInArrow(run, _DOCS)
+                known = row["ids_crc32"]
+                if known is None:
+                    crc, left = zlib.crc32(row["ids"], crc if left else 0), left or row["n_tokens"]
+                    left -= len(row["ids"]) // 4
+                    if left:
+                        continue
+                    known = crc
+                out.append((row["shard"], row["first"], row["doc_id"], row["n_tokens"], known))
+            yield rows_of(out, docs_schema)
+
+    parts = chunks.mapInArrow(read, _PARTS).repartition("shard", "first")
+    docs = parts.sortWithinPartitions("shard", "first", "chunk").mapInArrow(join, _DOCS)
     totals = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     # One row for each shard: the shards of a run are the tasks that wrote it.
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
