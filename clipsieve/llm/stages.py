@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from clipsieve.session import stage_root
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's context cleaner remove the shuffle files that no DataFrame refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def write_stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as zstd Parquet below ``spark.checkpoint.dir`` and return it as read from there.
 
-    The lineage ends here, and a lost executor costs only a second read. The shuffle files of what was
-    written are let go at once, so that a later stage can use their disk.
+    The lineage ends here, and a lost executor costs only a second read. Shuffle files of earlier stages,
+    which nothing refers to any more, are let go first, so that this one can use their disk.
     """
     spark = df.sparkSession
+    release_shuffles(spark)
     path = f"{stage_root(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    schema = df.schema
-    del df
-    spark.sparkContext._jvm.System.gc()  # the context cleaner then removes shuffles that nothing refers to
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipsieve.llm.stages import write_stage
+from clipsieve.llm.stages import release_shuffles, write_stage
 from clipsieve.llm.texts import to_arrow
 
 #: Units hashed at once, and rows settled at once, by a task.
@@ -386,8 +386,10 @@ def removed_spans(docs: DataFrame, rule: Rule) -> DataFrame:
     (start, end exclusive), which may overlap."""
     first = write_stage(_compare(_cell_rows(docs, rule), ["h"], rule, leave_open=True))
     windows = _open_windows(docs, first.where(F.col("kind") == OPEN), rule)
-    second = _compare(windows, ["h", "c"], rule, leave_open=False)
-    spans = first.where(F.col("kind") == SPAN).unionByName(write_stage(second))
+    second = write_stage(_compare(windows, ["h", "c"], rule, leave_open=False))
+    del windows
+    release_shuffles(docs.sparkSession)
+    spans = first.where(F.col("kind") == SPAN).unionByName(second)
     place = F.shiftright("pos", 8).bitwiseAND(0xFFFFFFFF)
     return spans.groupBy("doc", F.shiftright("pos", 40).cast("int").alias("tie")).agg(
         F.collect_list(F.struct(place.alias("start"), F.col("c").alias("end"))).alias("spans")  # of one document
