@@ -24,6 +24,8 @@ MAX_LETTERS = 250
 SEGMENT = 512
 
 UNKNOWN = "und"
+#: Texts of a known language need about half of it, short ones with names and numbers up to 6.
+MOST_BITS = 7.0
 
 
 class SuffixAutomaton:
@@ -78,9 +80,8 @@ class SuffixAutomaton:
 
 
 def _letters(text: str) -> np.ndarray:
-    """Lower-case code points; every run of other characters is one space."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    return points
+    """Lower-case code points."""
+    return np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
 
 
 @dataclass
@@ -92,7 +93,7 @@ class LanguageModel:
     symbols: int
 
     def symbol_table(self) -> np.ndarray:
-        """Symbols of the code points below 0x10000; 255 marks letters without an own symbol."""
+        """Symbols of the code points below 0x10000."""
         if not hasattr(self, "_table"):
             table = np.ones(1 << 16, np.uint8)
             for point in range(1 << 16):
@@ -203,20 +204,35 @@ def train(texts: dict[str, list[str]], sample_symbols: int = SAMPLE_SYMBOLS) ->
     return model
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``doc_id, lang_pred, score, bits`` for each row of ``doc_id, text``.
+def judge(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``row`` (all columns of ``docs``), ``lang_pred, score, bits`` for each row; only ``text`` is read.
 
     Null text and text without a letter give ``und``, score 0 and null bits, as does a model without
     languages. Repeated rows are judged alike; an empty table gives no row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.struct("*").alias("row"), "text")
 
-    def run(batch):
+    def work(batch):
         texts = [t.decode() for t in texts_of(batch)]
         found = []
         for i in range(0, len(texts), 512):
             found += shared.value.predict(texts[i : i + 512])
         columns = list(map(list, zip(*found))) if found else [[], [], []]
-        yield dict(zip(("doc_id", "lang_pred", "score", "bits"), [batch.column("doc_id"), *columns]))
+        yield dict(zip(("row", "lang_pred", "score", "bits"), [batch.column("row"), *columns]))
+
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, bits double"
+    return map_batches(rows, ["row", "text"], work, schema)
+
+
+def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``doc_id, lang_pred, score, bits`` for each row of ``doc_id, text``, as ``judge`` gives them."""
+    found = judge(docs.select("doc_id", "text"), model)
+    return found.select("row.doc_id", "lang_pred", "score", "bits")
+
 
-    return map_batches(docs, ["doc_id", "text"], run, "doc_id long, lang_pred string, score double, bits double")
+def keep_identified(docs: DataFrame, model: LanguageModel, most_bits: float = MOST_BITS) -> DataFrame:
+    """The rows of ``docs`` whose language was found and whose text needs at most ``most_bits`` bits a symbol
+    in it. Null text and text without a letter go."""
+    found = judge(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("bits") <= most_bits))
+    return found.select("row.*")

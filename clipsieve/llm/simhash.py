@@ -20,30 +20,47 @@ from pyspark.sql import functions as F
 from clipsieve.llm.components import connected
 from clipsieve.llm.stages import write_stage
 from clipsieve.llm.texts import map_batches, texts_of, to_arrow
+from clipsieve.llm.windows import mix
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 #: Parts of a fingerprint that are counted alone, and about how many fingerprints a block has.
 PARTS, BLOCK_ROWS = 4, 1 << 14
+#: For ``keep_one``: words of 64 bits, bits by which candidates may differ, least Jaccard similarity.
+WIDE, WIDE_RADIUS, SIMILARITY = 4, 56, 0.8
 _CELLS = 1 << 21  # exclusive-ors at once
 _AT_ONCE = 1 << 15  # hashes whose bits are counted at once
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """64 bits of a text: its words, A-Z in lower case, in shingles joined by spaces, repeats included. A
-    shorter text is one shingle; without a word the fingerprint is 0."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 of the shingles of a text: its words, A-Z in lower case, joined by spaces, repeats included. A
+    shorter text is one shingle; without a word there is none."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
     n, digest = len(words) - shingle + 1, xxhash.xxh64_intdigest
     grams = zip(*(words[i:] for i in range(shingle)))
-    hashes = np.fromiter((digest(b" ".join(g), SEED) for g in grams), np.uint64, n)
+    return np.fromiter((digest(b" ".join(g), SEED) for g in grams), np.uint64, n)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have; 0 for none."""
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, _AT_ONCE):
+    for at in range(0, len(hashes), _AT_ONCE):
         octets = hashes[at : at + _AT_ONCE].view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    return majority(shingle_hashes(text, shingle))
+
+
+def wide_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Several words of 64 bits, each from the hashes spread anew."""
+    steps = [np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)) for k in range(words)]
+    return np.array([majority(mix(hashes + k) if k else hashes) for k in steps], np.uint64)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -56,16 +73,26 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return map_batches(docs, ["doc_id", "text"], run, "doc_id long, fp long")
 
 
-def _counts(fp: Column, parts: int) -> list[Column]:
+def part_counts(fp: Column, parts: int) -> list[Column]:
+    """The population counts of the parts of a 64-bit fingerprint."""
     width = 64 // parts
     ones = (1 << width) - 1 if width < 64 else -1
     return [F.bit_count(F.shiftrightunsigned(fp, width * i).bitwiseAND(F.lit(ones).cast("long"))) for i in range(parts)]
 
 
-def _near_tiles(radius: int, parts: int) -> list[tuple[int, ...]]:
-    """Steps between tiles of which one direction is enough, the tile itself left out."""
-    steps = product(range(-radius, radius + 1), repeat=parts)
-    return [s for s in steps if 0 < sum(map(abs, s)) <= radius and next(x for x in s if x) > 0]
+def _near_tiles(radius: int, sides: list[int], width: int, banded: bool) -> list[tuple[int, ...]]:
+    """Steps between tiles that may hold links, one of each two directions, the tile itself left out.
+
+    The bits by which counts differ at least, summed over the parts, are at most the radius; a band, the
+    last entry, differs by one at most."""
+    far = 1 + (radius - 1) // width
+    spans = [range(-far, far + 1)] * (len(sides) - banded) + [range(-1, 2)] * banded
+    out = []
+    for step in product(*spans):
+        least = sum((abs(d) - 1) * width + 1 for d in step[: len(step) - banded] if d)
+        if any(step) and least <= radius and next(x for x in step if x) > 0:
+            out.append(step)
+    return out
 
 
 class _Forest:
@@ -88,22 +115,50 @@ class _Forest:
 
 
 def _compare(left: np.ndarray, right: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in two arrays (one row of 64-bit words per fingerprint) of pairs within the radius, nearest
+    first. Wide fingerprints are compared by all but their last word first."""
+    words = left.shape[1]
+    front = max(1, words - 1)
     step = max(1, _CELLS // max(1, len(right)))
     for at in range(0, len(left), step):
-        near = np.bitwise_count(left[at : at + step, None] ^ right[None, :]) <= radius
-        i, j = np.nonzero(near)
+        part = left[at : at + step]
+        apart = np.bitwise_count(part[:, None, 0] ^ right[None, :, 0])
+        for w in range(1, front):
+            apart = apart + np.bitwise_count(part[:, None, w] ^ right[None, :, w])
+        i, j = np.nonzero(apart <= radius)
         if len(i):
-            yield left[at + i], right[j]
-
-
-def links(distinct: DataFrame, radius: int = RADIUS, parts: int = PARTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``a, b``: links that connect all fingerprints of ``fp`` (all different) which links of at most
-    ``radius`` bits connect. Within a pair of blocks only a spanning forest of its links is returned."""
-    side = 64 // parts + 1
-    counts = _counts(F.col("fp"), parts)
-    tile = sum((c.cast("long") * side**i for i, c in enumerate(counts)), F.lit(0).cast("long"))
-    rows = distinct.select("fp", tile.alias("tile"), F.array(*counts).alias("counts"))
-    # At most side ** parts rows: 83,521 for four parts.
+            whole = np.bitwise_count(part[i] ^ right[j]).sum(axis=1)
+            order = np.argsort(whole, kind="stable")
+            order = order[whole[order] <= radius]
+            yield at + i[order], j[order]
+
+
+def links(
+    distinct: DataFrame,
+    counts: list[Column],
+    radius: int = RADIUS,
+    side: int = 64 // PARTS + 1,
+    width: int = 1,
+    code: Column | None = None,
+    band: Column | None = None,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``a, b``: links that connect all ``fp`` of ``distinct`` (all different) which links of at most
+    ``radius`` bits connect. Within a pair of blocks only a spanning forest of its links is returned, near
+    ones first.
+
+    ``counts`` are the population counts of parts, each below ``side``; ``width`` counts share a tile.
+    ``code`` is the whole fingerprint where ``fp`` is only its name. With ``band``, a number from 0 to 127,
+    bands more than one apart hold no link.
+    """
+    bins = [F.floor(c / width).cast("long") for c in counts] + ([band.cast("long")] if band is not None else [])
+    sides = [-(-side // width)] * len(counts) + ([128] if band is not None else [])
+    scale = [int(np.prod(sides[:i], dtype=np.int64)) for i in range(len(sides))]
+    tile = sum((b * k for b, k in zip(bins, scale)), F.lit(0).cast("long"))
+    held = ["fp"] if code is None else ["fp", "code"]
+    named = [F.col("fp")] if code is None else [F.col("fp"), code.alias("code")]
+    rows = distinct.select(*named, tile.alias("tile"), F.array(*bins).alias("bins"))
+    # At most as many rows as tiles, which the sides bound.
     blocks = rows.groupBy("tile").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     blocks = F.broadcast(write_stage(blocks))
     placed = rows.join(blocks, "tile").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
@@ -112,39 +167,30 @@ def links(distinct: DataFrame, radius: int = RADIUS, parts: int = PARTS, block_r
         F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b > F.col("block")),
         lambda b: F.struct(F.col("tile").alias("tile"), b.alias("block"), F.lit(True).alias("guest")),
     )
-    own = placed.select("fp", F.explode(F.concat(F.array(home), later)).alias("at")).select("fp", "at.*")
+    own = placed.select(*held, F.explode(F.concat(F.array(home), later)).alias("at")).select(*held, "at.*")
     targets = []
-    for step in _near_tiles(radius, parts):
+    for step in _near_tiles(radius, sides, width, band is not None):
         fits = F.lit(True)
         for i, d in enumerate(step):
             if d:
-                fits = fits & (F.col("counts")[i] + d).between(0, side - 1)
-        targets.append(F.when(fits, F.col("tile") + sum(d * side**i for i, d in enumerate(step))))
-    visits = rows.select("fp", F.explode(F.array_compact(F.array(*targets))).alias("tile")).join(blocks, "tile")
-    visits = visits.select("fp", "tile", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+                fits = fits & (F.col("bins")[i] + d).between(0, sides[i] - 1)
+        targets.append(F.when(fits, F.col("tile") + sum(d * k for d, k in zip(step, scale))))
+    visits = rows.select(*held, F.explode(F.array_compact(F.array(*targets))).alias("tile")).join(blocks, "tile")
+    visits = visits.select(*held, "tile", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     everything = own.unionByName(visits.withColumn("guest", F.lit(True)))
     schema = "a long, b long"
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         key, homes, forest = None, [], _Forest()
-
-        def found(group, guest):
-            """Links of a stretch of rows of one block."""
-            nonlocal homes
-            if not guest:
-                for other in homes:
-                    yield from _compare(group, other, radius)
-                # Within the stretch every pair is seen from both sides, and each row by itself.
-                yield from _compare(group, group, radius)
-                homes.append(group)
-            else:
-                for other in homes:
-                    yield from _compare(group, other, radius)
-
         for batch in batches:
-            fp = batch.column("fp").to_numpy().view(np.uint64)
-            place = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("tile", "block", "guest")])
+            fp = batch.column("fp").to_numpy()
+            if len(held) == 1:
+                codes = fp.view(np.uint64).reshape(-1, 1)
+            else:
+                codes = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint64).reshape(len(fp), -1)
+            place = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("tile", "block", "guest")]
+            place = np.stack(place)
             cuts = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1
             out = []
             for begin, end in zip([0, *cuts], [*cuts, len(fp)]):
@@ -152,14 +198,18 @@ def links(distinct: DataFrame, radius: int = RADIUS, parts: int = PARTS, block_r
                     continue
                 if key != (place[0, begin], place[1, begin]):
                     key, homes, forest = (place[0, begin], place[1, begin]), [], _Forest()
-                for x, y in found(fp[begin:end], bool(place[2, begin])):
-                    pairs = zip(x.view(np.int64).tolist(), y.view(np.int64).tolist())
-                    out += [p for p in pairs if p[0] != p[1] and forest.joins(*p)]
+                mine, own_codes = fp[begin:end], codes[begin:end]
+                if not place[2, begin]:
+                    homes.append((mine, own_codes))  # so that the stretch is also compared with itself
+                for other, other_codes in homes:
+                    for i, j in _compare(own_codes, other_codes, radius):
+                        pairs = zip(mine[i].tolist(), other[j].tolist())
+                        out += [p for p in pairs if p[0] != p[1] and forest.joins(*p)]
             if out:
                 yield pa.RecordBatch.from_pydict(dict(zip("ab", map(list, zip(*out)))), schema=arrow)
 
     dealt = everything.repartition("tile", "block").sortWithinPartitions("tile", "block", "guest")
-    return dealt.select("tile", "block", "guest", "fp").mapInArrow(run, schema)
+    return dealt.select("tile", "block", "guest", *held).mapInArrow(run, schema)
 
 
 def to_arrow_schema(schema: str) -> pa.Schema:
@@ -178,7 +228,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     """
     prints = write_stage(fingerprints(docs, shingle))
     distinct = write_stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected(links(distinct.select("fp"), radius, parts))
+    counts = part_counts(F.col("fp"), parts)
+    roots = connected(links(distinct.select("fp"), counts, radius, 64 // parts + 1))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
@@ -187,3 +238,80 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return prints.join(of_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """``fp, grams``: the different shingle hashes of each text of ``fp, text``."""
+
+    def run(batch):
+        sets = [np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in texts_of(batch)]
+        yield {"fp": batch.column("fp"), "grams": sets}
+
+    return map_batches(docs, ["fp", "text"], run, "fp long, grams array<long>")
+
+
+def keep_one(
+    docs: DataFrame,
+    similarity: float = SIMILARITY,
+    shingle: int = 5,
+    words: int = WIDE,
+    radius: int = WIDE_RADIUS,
+) -> DataFrame:
+    """The rows of ``docs`` (all columns) without near-duplicates: one of each group stays, the one with the
+    least ``doc_id`` (null last), of rows that share it the one with the least text hash.
+
+    Candidates differ in at most ``radius`` of ``words * 64`` bits; their links (a spanning forest, near ones
+    first) are confirmed by the Jaccard similarity of their sets of ``shingle`` words. Texts with equal
+    fingerprints are one text here, so all rows without a word, null ones too, are one group. An empty table
+    stays empty.
+    """
+    rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
+
+    def run(batch):
+        names, codes, ones, sizes = [], [], [], []
+        for text in texts_of(batch):
+            hashes = shingle_hashes(text, shingle)
+            code = wide_fingerprint(hashes, words)
+            codes.append(code.tobytes())
+            names.append(int(np.int64(np.uint64(xxhash.xxh64_intdigest(codes[-1], SEED)).view(np.int64))))
+            ones.append(int(np.bitwise_count(code).sum()))
+            sizes.append(len(np.unique(hashes)))
+        yield {
+            "doc_id": batch.column("doc_id"), "tie": batch.column("tie"), "fp": names, "code": codes,
+            "ones": ones, "n_grams": sizes,
+        }
+
+    schema = "doc_id long, tie long, fp long, code binary, ones int, n_grams int"
+    prints = write_stage(map_batches(rows, ["doc_id", "tie", "text"], run, schema))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")
+    distinct = write_stage(
+        prints.groupBy("fp").agg(
+            F.min("code").alias("code"), F.min("ones").alias("ones"), F.min("n_grams").alias("n_grams"),
+            F.min(order).alias("first"),
+        )
+    )
+    # Sets as similar as asked differ in size by one band at most.
+    band = F.floor(F.log(F.greatest("n_grams", F.lit(1))) / F.log(F.lit(1 / similarity)) + 1e-9)
+    found = links(
+        distinct, [F.col("ones")], radius, 64 * words + 1, max(1, radius // 2), F.col("code"), F.least(band, F.lit(127))
+    )
+    found = write_stage(found)
+    asked = found.select(F.col("a").alias("fp")).union(found.select("b")).distinct()
+    asked = asked.join(distinct.select("fp", "first.doc_id", "first.tie"), "fp")
+    same_row = rows["doc_id"].eqNullSafe(asked["doc_id"]) & rows["tie"].eqNullSafe(asked["tie"])
+    sets = write_stage(_shingle_sets(rows.join(asked, same_row).select("fp", "text"), shingle))
+    left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("grams_a"))
+    right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("grams_b"))
+    shared = F.size(F.array_intersect("grams_a", "grams_b"))
+    confirmed = found.join(left, "a").join(right, "b").where(
+        shared >= F.lit(similarity) * (F.size("grams_a") + F.size("grams_b") - shared)
+    )
+    roots = connected(confirmed.select("a", "b"))
+    first = distinct.join(roots, distinct["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp")).agg(
+        F.min("first").alias("first")
+    )
+    stays = write_stage(first.select("first.doc_id", "first.tie"))
+    whole = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("tie"))
+    same_row = whole["doc_id"].eqNullSafe(stays["doc_id"]) & whole["tie"].eqNullSafe(stays["tie"])
+    kept = whole.join(stays, same_row, "left_semi").dropDuplicates(["doc_id", "tie"])
+    return kept.select("row.*")

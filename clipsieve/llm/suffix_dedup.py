@@ -11,8 +11,6 @@ show; the earliest of each are then compared across tasks.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -78,7 +76,8 @@ def rule(length: int = LENGTH, gram: int | None = None) -> Rule:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``row`` (all columns of ``docs``), ``n_bytes, n_removed, n_spans, kept`` (binary).
+    """``row`` (all columns of ``docs``), ``n_bytes, n_removed, n_spans, kept`` (binary) and ``kept_text``
+    (the kept bytes as text; of a character that was cut the rest goes too).
 
     Earlier means a smaller ``doc_id`` (null first) or the same document and an earlier start. Rows that
     share an id are ordered by a checksum of their text; rows that also share the text count as one document
@@ -86,8 +85,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     found = with_spans(docs, removed_spans(docs, rule(length)))
     out = found.select("row", "row.text", "spans")
-    schema = f"row {found.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = f"row {found.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"
     arrow = to_arrow(_parsed(schema))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
 
     def run(batches):
         for batch in batches:
@@ -97,13 +97,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 text = text or b""
                 stays, runs = kept_mask(len(text), spans)
                 kept = np.frombuffer(text, np.uint8)[stays].tobytes() if runs else text
-                rows.append((len(text), len(text) - len(kept), runs, kept))
-            columns = list(zip(*rows)) if rows else [[], [], [], []]
-            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+                whole = kept.decode("utf-8", "ignore")
+                rows.append((len(text), len(text) - len(kept), runs, kept, whole))
+            columns = list(zip(*rows)) if rows else [[] for _ in range(5)]
+            arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("row").cast(arrow.field("row").type), *arrays], schema=arrow)
 
     return out.mapInArrow(run, schema)
 
-
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

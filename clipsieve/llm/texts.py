@@ -22,11 +22,18 @@ def map_batches(
     def run(batches):
         for batch in batches:
             for out in work(batch):
-                yield pa.RecordBatch.from_pydict(out, schema=arrow)
+                arrays = [_array(out[f.name], f.type) for f in arrow]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return docs.select(*columns).mapInArrow(run, schema)
 
 
+def _array(values, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values if values.type == kind else values.cast(kind)
+    return pa.array(values, kind)
+
+
 def to_arrow(struct) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -12,7 +12,7 @@ import re
 import numpy as np
 
 #: Words remembered by one Python worker; the table starts anew when it is full.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 700_000
 _LONGEST_REMEMBERED = 64
 # Lower-case letters of the Latin-1 range in UTF-8, then marks: two units of the vocabulary's own splitting.
 _LETTERS_THEN_MARKS = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([.,:;!?()]*)")
