@@ -76,6 +76,7 @@ class SuffixAutomaton:
         for state, edges in enumerate(self.next):
             for symbol, target in edges.items():
                 table[state, symbol] = target * symbols * 2
+        table[0, 1:] |= 1  # from the root, at the start or after an unknown symbol
         return table.reshape(-1).astype(np.int32 if table.max() < 1 << 31 else np.int64)
 
 
@@ -132,7 +133,7 @@ class LanguageModel:
         grid = np.ascontiguousarray(grid.reshape(width, segment).T)
         owner = np.repeat(np.arange(len(texts)), counts)
         for j, table in enumerate(self.tables):
-            state, total = np.zeros(width, table.dtype), np.ones(width, np.int32)
+            state, total = np.zeros(width, table.dtype), np.zeros(width, np.int32)
             for row in grid:
                 step = table[state + row]
                 total += step & 1
