@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from checks.duck_sql import SQL
@@ -28,8 +30,11 @@ _SQL_TYPES = {
 
 
 def session(cores: int = 8) -> SparkSession:
+    builder = SparkSession.builder.master(f"local[{cores}]")
+    if not SparkConf().contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clipsieve-stages-"))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from checks.setup import CHECK_LEXICONS, CHECK_STOP_WORDS, SETTINGS
-from clipsieve.functions.rules import HANDLE_TAG, PHRASE, RULES, TERM, URL, WHITESPACE_CLASS
+from clipsieve.functions.rules import HANDLE_TAG, RULES, TERM, URL, WHITESPACE_CLASS
 from clipsieve.operators.entities import ENTITY_MARKERS, TOPIC_SUFFIXES
 from clipsieve.operators.integrity import GATE_FAILURES
 from clipsieve.operators.lexicon import lexicon_rows
 
 _RULES = RULES["documented"]
+# DuckDB has no possessive repeats, and needs none.
+PHRASE = r"[A-Z][a-z]+(?: [A-Z][a-z]+)*"
 
 
 def _quoted(value: str) -> str:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipsieve import Settings, prepare_session
-from clipsieve.session import spread
 from clipsieve.settings import DEFAULT_LEXICONS
 
 # Frequent words of the given texts, so that scores are not all zero; "as" is listed twice on purpose.
@@ -26,15 +25,27 @@ CHECK_STOP_WORDS = [
 SETTINGS = Settings(run_id="check", lexicons=CHECK_LEXICONS)
 
 
+# Tables of fewer splits (1 GB at most) are dealt out once, as a small file may be a single row group.
+_FEW_SPLITS = 8
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition(_FEW_SPLITS) if rows.rdd.getNumPartitions() < _FEW_SPLITS else rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``documents`` table as posts: links, handles and inline tags are added to most texts, and the
-    hashtag column cycles through its input formats."""
+    """The ``documents`` table as posts."""
     prepare_session(spark)
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return as_posts(dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")))
+
+
+def as_posts(documents: DataFrame) -> DataFrame:
+    """Links, handles and inline tags are added to most texts, and the hashtag column cycles through its
+    input formats."""
     doc_id, lang, source = F.col("doc_id"), F.col("lang"), F.col("source")
     suffix = F.concat(
         F.lit(" https://v.example/"), doc_id.cast("string"), F.lit(" @"), source, F.lit(" #"), lang
@@ -64,7 +75,7 @@ def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``embeddings`` table as clustered vectors; the given label is the cluster."""
     prepare_session(spark)
-    rows = spread(table(spark, sf_dir, "embeddings"))
+    rows = dealt(table(spark, sf_dir, "embeddings"))
     return rows.select(
         F.lit(SETTINGS.run_id).alias("run_id"),
         F.col("vec_id").cast("string").alias("video_id"),

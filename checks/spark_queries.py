@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.setup import CHECK_STOP_WORDS, SETTINGS, members, table, videos
+from checks.setup import CHECK_STOP_WORDS, SETTINGS, as_posts, members, table, videos
 from clipsieve.functions import text
 from clipsieve.functions.arrays import explode_items
 from clipsieve.functions.dates import epoch_seconds, utc_date
@@ -85,7 +85,9 @@ def profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return videos(spark, sf_dir).select("video_id", "author_id", "created_at", "desc_raw", "challenges_raw")
+    raw = posts.scan(spark, f"{sf_dir}/documents.parquet")
+    rows = as_posts(raw)
+    return rows.select("video_id", "author_id", "created_at", "desc_raw", "challenges_raw")
 
 
 @query

@@ -20,7 +20,8 @@ WHITESPACE_CHARS = (
 
 URL = rf"https?://[^{WHITESPACE_CLASS}]+"
 HANDLE_TAG = r"<HANDLE>@([A-Za-z0-9_.]+)</HANDLE>"
-PHRASE = r"[A-Z][a-z]+(?: [A-Z][a-z]+)*"
+# Possessive: a repeated group would otherwise take a stack frame per word.
+PHRASE = r"[A-Z][a-z]++(?: [A-Z][a-z]++)*+"
 TERM = r"[\p{L}\p{N}_]{2,}"
 
 

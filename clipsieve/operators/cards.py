@@ -9,7 +9,7 @@ from clipsieve.operators.integrity import low_anchor_quality
 from clipsieve.operators.lexicon import cluster_sentiment, lexicon_overlay
 from clipsieve.operators.profiles import cluster_size, sample_rows
 from clipsieve.operators.quantiles import strength_quantiles
-from clipsieve.session import broadcast_if_small, materialize
+from clipsieve.session import materialize
 from clipsieve.settings import Settings
 
 EXEMPLAR_LIMIT = 20
@@ -87,7 +87,7 @@ def exemplars(clusters: DataFrame, evidence: DataFrame, limit: int = EXEMPLAR_LI
     chosen = materialize(sample_rows(clusters, limit))
     texts = (
         evidence.select("video_id", "desc_raw", "hashtags_list_norm")
-        .join(broadcast_if_small(chosen.select("video_id")), "video_id", "left_semi")
+        .join(chosen.select("video_id"), "video_id", "left_semi")
         .select(
             "video_id",
             F.substring("desc_raw", 1, SNIPPET_LENGTH).alias("snippet"),

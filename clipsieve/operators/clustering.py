@@ -13,20 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipsieve.functions.vectors import best_cosine, cosine
-from clipsieve.session import broadcast_if_small, materialize
+from clipsieve.session import materialize
 from clipsieve.settings import Settings
 
 MAX_INSUFFICIENT = 0.5
 MIN_COHERENCE = 0.2
-# Fits that run at once; one fit's short jobs leave cores idle that another can use.
-_PARALLEL_FITS = 10
 
 
 def fit_kmeans(embeddings: DataFrame, settings: Settings) -> KMeansModel:
     """The cheapest of ``kmeans_starts`` seeded fits with ``min(k, rows)`` centers, at least one.
 
-    The vectors are kept in memory and on disk for the fits; each iteration adds up partial sums per
-    center, so an over-full cluster does not make a hot task.
+    The vectors are kept in memory and on disk for the fits (about 8 bytes a dimension and row); each
+    iteration adds up partial sums per center, so an over-full cluster does not make a hot task.
+    ``parallel_fits`` fits run at once: one's short jobs leave cores idle that another can use.
     """
     vectors = embeddings.select(array_to_vector("embedding").alias("features"))
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
@@ -38,7 +37,7 @@ def fit_kmeans(embeddings: DataFrame, settings: Settings) -> KMeansModel:
         def fit(seed: int) -> KMeansModel:
             return estimator.copy({estimator.seed: seed}).fit(vectors)
 
-        with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
+        with ThreadPoolExecutor(settings.parallel_fits) as pool:
             fits = list(pool.map(inheritable_thread_target(embeddings.sparkSession)(fit), seeds))
         return min(fits, key=lambda model: model.summary.trainingCost)
     finally:
@@ -73,9 +72,9 @@ def centroids(members: DataFrame) -> DataFrame:
 def cosine_to_centroid(members: DataFrame) -> DataFrame:
     """``video_id, cluster_id, cosine`` of every member to its own cluster's mean.
 
-    The means are written first, so that their number can be checked and the members stay in place.
+    The means are written first, so that the planner knows their size in bytes when it chooses the join.
     """
-    means = broadcast_if_small(materialize(centroids(members)))
+    means = materialize(centroids(members))
     return members.join(means, "cluster_id").select(
         "video_id", "cluster_id", cosine(F.col("embedding"), F.col("centroid")).alias("cosine")
     )
@@ -132,7 +131,7 @@ def cluster_metrics(members: DataFrame, evidence: DataFrame) -> DataFrame:
 def flag_members(members: DataFrame, metrics: DataFrame) -> DataFrame:
     """Members with ``is_noise``; ``metrics`` should be materialized, it has one row per cluster."""
     flags = metrics.select("cluster_id", F.col("platform_bucket").alias("is_noise"))
-    return members.join(broadcast_if_small(flags), "cluster_id").select(
+    return members.join(flags, "cluster_id").select(
         "run_id", "video_id", "cluster_id", "strength", "is_noise"
     )
 
@@ -140,8 +139,9 @@ def flag_members(members: DataFrame, metrics: DataFrame) -> DataFrame:
 def cluster_embeddings(
     embeddings: DataFrame, evidence: DataFrame, settings: Settings
 ) -> tuple[DataFrame, DataFrame]:
-    """Clusters and their metrics. The metrics are written once, as the flags of all members need them."""
-    members = assign(embeddings, fit_kmeans(embeddings, settings))
+    """Clusters and their metrics. Both are written once: the members are read for the coherence, for the
+    share without topic and for the flags, and the flags need the metrics."""
+    members = materialize(assign(embeddings, fit_kmeans(embeddings, settings)))
     metrics = materialize(cluster_metrics(members, evidence))
     return flag_members(members, metrics), metrics
 

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from clipsieve import schemas
 from clipsieve.operators.evidence import Detector
 
+# Texts to one (language, confidence) each.
+LanguageModel = Callable[[list[str]], Sequence[tuple[str, float]]]
 # Texts to one vector each.
 Encoder = Callable[[list[str]], np.ndarray]
 # Texts to one list of (surface, model label, confidence or None) each.
@@ -33,13 +35,18 @@ MODEL_LABELS = {
 DEFAULT_MODEL_CONFIDENCE = 0.8
 
 
-def language_detector(detect: Callable[[str], tuple[str, float]]) -> Detector:
-    """Make a detector column from a function over single texts. Empty text is ("unknown", 0.0)."""
+def language_detector(make_detect: Callable[[], LanguageModel]) -> Detector:
+    """Make a detector column from a model over batches of texts. Empty text is ("unknown", 0.0)."""
 
     @F.pandas_udf(schemas.struct(lang=schemas.STRING, conf=schemas.DOUBLE))
-    def guess(texts: pd.Series) -> pd.DataFrame:
-        pairs = [detect(text) if text else ("unknown", 0.0) for text in texts]
-        return pd.DataFrame(pairs, columns=["lang", "conf"])
+    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        detect = make_detect()
+        for texts in batches:
+            full = [i for i, text in enumerate(texts) if text]
+            pairs = [("unknown", 0.0)] * len(texts)
+            for i, pair in zip(full, detect([texts.iloc[i] for i in full]) if full else []):
+                pairs[i] = pair
+            yield pd.DataFrame(pairs, columns=["lang", "conf"])
 
     # Not deterministic for the planner: the language filter is then not moved below the model, where
     # it would run it a second time.
@@ -83,7 +90,7 @@ def with_model_entities(evidence: DataFrame, make_model: Callable[[], EntityMode
                     {
                         "surface": surface,
                         "type": MODEL_LABELS[label],
-                        "confidence": confidence or DEFAULT_MODEL_CONFIDENCE,
+                        "confidence": DEFAULT_MODEL_CONFIDENCE if confidence is None else confidence,
                     }
                     for surface, label, confidence in items
                     if label in MODEL_LABELS

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from clipsieve.functions.hashing import id_fingerprint
 from clipsieve.functions.vectors import ratio
-from clipsieve.session import broadcast_if_small
 from clipsieve.settings import Settings
 
 VALID = "VALID_FOR_OPERATOR_REVIEW"
@@ -97,21 +96,20 @@ def gate_sample_validity(
 ) -> DataFrame:
     """One row ``matches, total, sample_video_rate`` over the samples of a few profiles.
 
-    The samples (at most 20 per sampled profile) are broadcast into the two large tables, which are
-    filtered and not shuffled.
+    The samples are at most 20 per sampled profile, so the planner broadcasts them into the two large
+    tables.
     """
     samples = sampled_profiles(profiles, settings.random_seed).select(
         "cluster_id", F.explode("sample_video_ids").alias("video_id")
     )
-    small = broadcast_if_small(samples)
     placed = (
         clusters.select("cluster_id", "video_id")
-        .join(small, ["cluster_id", "video_id"], "left_semi")
+        .join(samples, ["cluster_id", "video_id"], "left_semi")
         .distinct()
     )
     known = (
         evidence.select("video_id")
-        .join(broadcast_if_small(samples.select("video_id")), "video_id", "left_semi")
+        .join(samples.select("video_id"), "video_id", "left_semi")
         .distinct()
     )
     judged = samples.join(placed.withColumn("_placed", F.lit(1)), ["cluster_id", "video_id"], "left").join(

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from clipsieve.functions.arrays import bind, empty_array, explode_items, is_any_of, string_list, value_counts
 from clipsieve.functions.text import drop_normal_noise
 from clipsieve.operators.ranking import top_n
-from clipsieve.session import broadcast_if_small
 from clipsieve.settings import Lexicons, Settings
 
 TOP_TOKENS = 5
@@ -53,7 +52,7 @@ def lexicon_hits(evidence: DataFrame, lexicon: DataFrame, settings: Settings) ->
     keywords = lexicon.select("family", "label", F.lower("keyword").alias("keyword"), "pos")
     tokens = explode_items(evidence, ["video_id"], scoring_tokens(settings), "keyword")
     return (
-        tokens.join(broadcast_if_small(keywords), "keyword")
+        tokens.join(keywords, "keyword")
         .groupBy("video_id", "family", "label", "keyword", "pos")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clipsieve.functions.vectors import ratio
 from clipsieve.operators.ranking import top_n
 from clipsieve.operators.tfidf import cluster_keywords, default_stop_words, keyword_lists
+from clipsieve.session import materialize
 from clipsieve.settings import Settings
 
 ANCHOR_LIMIT = 10
@@ -22,8 +23,8 @@ def cluster_size(clusters: DataFrame) -> DataFrame:
 
 
 def cluster_texts(clusters: DataFrame, evidence: DataFrame) -> DataFrame:
-    """Members with their topic text and normalised tags. Members without evidence drop out;
-    ``missing_evidence`` counts them."""
+    """Members with their topic text and normalised tags. Members without evidence drop out; a run reports
+    the number that ``missing_evidence`` gives."""
     texts = evidence.select("video_id", "topic_text", "hashtags_list_norm")
     return clusters.select("video_id", "cluster_id").join(texts, "video_id")
 
@@ -138,7 +139,8 @@ def build_profiles(
     """One row per cluster. Every part is aggregated before it is joined, so the joins see one row
     per cluster and side."""
     words = default_stop_words() if stop_words is None else stop_words
-    texts = cluster_texts(clusters, evidence)
+    # Joined once; the vocabulary, the weights and the text lengths are all taken from what is written.
+    texts = materialize(cluster_texts(clusters, evidence))
     listed = anchors(clusters, mentions)
     parts = [
         metrics.select(

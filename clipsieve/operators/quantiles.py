@@ -1,4 +1,4 @@
-"""Exact quantiles per group, also for groups too large for one task."""
+"""Exact quantiles per group, whatever its size."""
 
 from __future__ import annotations
 
@@ -7,14 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipsieve.functions.arrays import explode_items
-from clipsieve.session import broadcast_if_small, materialize
+from clipsieve.session import materialize
 
+# A sketch of this accuracy is off by one rank in _ACCURACY; cuts lie on both sides of each quantile.
 _ACCURACY = 10_000
-# The sketch is off by at most one rank in _ACCURACY; the searched range is wider on both sides.
-_MARGIN = 4 / _ACCURACY
-# Groups up to this size are searched whole.
-_WHOLE = 100_000
+_MARGINS = (4 / _ACCURACY, 40 / _ACCURACY)
 
 
 def exact_quantiles(
@@ -22,68 +19,54 @@ def exact_quantiles(
 ) -> DataFrame:
     """``group, probability, quantile`` with linear interpolation between neighbours.
 
-    A sketch of fixed size brackets each quantile; then one pass counts the values below the bracket
-    and the distinct values inside it, all with map-side partial counts. So a group with a third of all
-    rows puts only the few rows near its quantiles into one task, and ties collapse to one row.
+    A sketch of fixed size gives cuts around each quantile, which divide a group's values into sections.
+    Rows are counted by section; the counts say which section holds a wanted rank, and only the values of
+    these sections are ranked. The cuts decide how many values that is, not the result. All counts have
+    map-side partial sums and ties are one row, so a group with a third of all rows puts only the values
+    near its quantiles into one task.
     """
     data = rows.select(group, F.col(value).cast("double").alias("_value")).filter("_value is not null")
-    cuts = []
-    for q in probabilities:
-        cuts += [max(0.0, q - _MARGIN), min(1.0, q + _MARGIN)]
-    whole = F.col("n") <= _WHOLE
-    brackets = F.array(
-        *[
-            F.struct(
-                F.lit(float(q)).alias("probability"),
-                F.when(whole, F.col("low")).otherwise(F.col("cuts")[2 * i]).alias("low"),
-                F.when(whole, F.col("high")).otherwise(F.col("cuts")[2 * i + 1]).alias("high"),
-            )
-            for i, q in enumerate(probabilities)
-        ]
-    )
-    bounds = (
-        data.groupBy(group)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("_value").alias("low"),
-            F.max("_value").alias("high"),
-            F.percentile_approx("_value", cuts, _ACCURACY).alias("cuts"),
+    cuts = sorted({min(1.0, max(0.0, q + side * m)) for q in probabilities for m in _MARGINS for side in (-1, 1)})
+    bounds = materialize(
+        data.groupBy(group).agg(
+            F.count(F.lit(1)).alias("n"), F.percentile_approx("_value", cuts, _ACCURACY).alias("_cuts")
         )
-        .select(group, "n", brackets.alias("brackets"))
-    )
-    bounds = broadcast_if_small(materialize(bounds))
-    below_or_inside = F.filter(
-        "brackets", lambda bracket: F.col("_value") <= bracket["high"]
     )
-    marked = F.transform(
-        below_or_inside,
-        lambda bracket: F.struct(
-            bracket["probability"].alias("probability"),
-            F.when(F.col("_value") >= bracket["low"], F.col("_value")).alias("value"),
-        ),
+    section = F.size(F.filter("_cuts", lambda cut: cut < F.col("_value")))
+    placed = data.join(bounds, group).select(group, "_value", section.alias("_section"))
+    in_order = Window.partitionBy(group).orderBy("_section")
+    sections = (
+        placed.groupBy(group, "_section")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_end", F.sum("_rows").over(in_order))
     )
-    counted = (
-        explode_items(data.join(bounds, group), [group, "n"], marked)
-        .groupBy(group, "item.probability", "n", "item.value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    window = Window.partitionBy(group, "probability").orderBy(F.asc_nulls_first("value"))
     position = F.col("probability") * (F.col("n") - 1)
-    ranked = counted.withColumn("seen", F.sum("rows").over(window)).withColumn("position", position)
-    found = ranked.groupBy(group, "probability").agg(
-        F.first("position").alias("position"),
-        F.coalesce(F.max(F.when(F.col("value").isNull(), F.col("seen"))), F.lit(0)).alias("below"),
-        F.min(F.when(F.col("seen") > F.floor("position"), F.col("value"))).alias("left"),
-        F.min(F.when(F.col("seen") > F.ceil("position"), F.col("value"))).alias("right"),
+    sides = F.array(F.floor("_position"), F.ceil("_position"))
+    wanted = (
+        bounds.select(group, "n", F.explode(F.array(*[F.lit(float(q)) for q in probabilities])).alias("probability"))
+        .withColumn("_position", position)
+        .withColumn("_rank", F.explode(F.array_distinct(sides)))
+        .join(sections, group)
+        .filter((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_rows")))
+        .select(
+            group, "_section", "probability", "_position", "_rank",
+            (F.col("_rank") - F.col("_end") + F.col("_rows")).alias("_place"),
+        )
+    )
+    wanted = materialize(wanted)
+    inside = Window.partitionBy(group, "_section").orderBy("_value")
+    values = (
+        placed.join(wanted.select(group, "_section").distinct(), [group, "_section"], "left_semi")
+        .groupBy(group, "_section", "_value")
+        .agg(F.count(F.lit(1)).alias("_times"))
+        .withColumn("_until", F.sum("_times").over(inside))
     )
-    outside = (F.col("below") > F.floor("position")) | F.col("right").isNull()
-    between = F.col("left") + (F.col("right") - F.col("left")) * (
-        F.col("position") - F.floor("position")
+    found = values.join(wanted, [group, "_section"]).filter(
+        (F.col("_place") < F.col("_until")) & (F.col("_place") >= F.col("_until") - F.col("_times"))
     )
-    quantile = F.when(
-        outside, F.raise_error(F.lit("quantile outside of its bracket")).cast("double")
-    ).otherwise(between)
-    return found.select(group, "probability", quantile.alias("quantile"))
+    left, right = F.min_by("_value", "_rank"), F.max_by("_value", "_rank")
+    share = F.max("_position") - F.floor(F.max("_position"))
+    return found.groupBy(group, "probability").agg((left + (right - left) * share).alias("quantile"))
 
 
 def strength_quantiles(clusters: DataFrame) -> DataFrame:

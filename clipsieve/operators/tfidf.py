@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from clipsieve.functions import text
 from clipsieve.functions.arrays import is_any_of
 from clipsieve.operators.ranking import top_n
-from clipsieve.session import broadcast_if_small, materialize
+from clipsieve.session import materialize
 from clipsieve.settings import Settings
 
 KEYWORD_LIMIT = 15
@@ -143,8 +143,8 @@ def cluster_keywords(
     ``texts`` has one row per member: ``cluster_id, video_id, topic_text, hashtags_list_norm``. Nothing
     is gathered per cluster: terms are counted with partial sums, the vocabulary (at most
     ``max_terms`` per cluster and view) is written once and joined back, and the length of a
-    document is a window over that document only. After a join on ``video_id`` the window finds its
-    rows in place, without another shuffle.
+    document is a window over that document only. The weighing pass deals texts out by ``video_id`` before
+    they become terms, so the window finds its rows in place.
     """
     terms = _cluster_terms(texts, stop_words)
     sizes = texts.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("documents"))
@@ -163,7 +163,8 @@ def cluster_keywords(
         )
     )
     known = materialize(known)
-    weighted = terms.join(broadcast_if_small(known), ["cluster_id", "view", "term"]).withColumn(
+    dealt = _cluster_terms(texts.repartition("video_id"), stop_words)
+    weighted = dealt.join(known, ["cluster_id", "view", "term"]).withColumn(
         "weight", F.col("n") * F.col("idf")
     )
     square = F.col("weight") * F.col("weight")

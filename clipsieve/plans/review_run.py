@@ -14,11 +14,11 @@ from clipsieve.operators.embedding import embed
 from clipsieve.operators.evidence import Detector, constant_detector, prepare_evidence
 from clipsieve.operators.hooks import Encoder, EntityModel, with_model_entities
 from clipsieve.operators.noise import token_noise_report
-from clipsieve.operators.profiles import build_profiles
-from clipsieve.session import prepare_session
+from clipsieve.operators.profiles import build_profiles, missing_evidence
+from clipsieve.session import clear_stages, materialize, prepare_session
 from clipsieve.settings import Settings
 from clipsieve.sources import sinks
-from clipsieve.sources.posts import ingest, ingest_checks, require_unique
+from clipsieve.sources.posts import ingest, ingest_checks, keep_one, normalize_columns, require_unique
 
 
 @dataclass
@@ -49,16 +49,38 @@ def run(
 
     Each stage is written once and read back, which cuts its lineage: a lost executor costs a re-read,
     and the next stage reads only the columns that it uses. Cards are written only for a valid run.
-    Ids must be unique; the run stops with their number if they are not.
+    Repeated ids stop the run with their number, before anything is written, or one row of each is kept
+    (``settings.repeated_ids``). The files of steps inside a stage are removed at the end.
     """
     prepare_session(spark)
+    try:
+        return _run(spark, posts, output_dir, settings, detector, make_encoder, make_entity_model, stop_words)
+    finally:
+        clear_stages(spark)
+
+
+def _run(
+    spark: SparkSession,
+    posts: DataFrame,
+    output_dir: str,
+    settings: Settings,
+    detector: Detector,
+    make_encoder: Callable[[], Encoder] | None,
+    make_entity_model: Callable[[], EntityModel] | None,
+    stop_words: Sequence[str] | None,
+) -> ReviewRun:
     base = output_dir.rstrip("/")
 
     def table(rows: DataFrame, name: str) -> DataFrame:
         return sinks.write_table(rows, f"{base}/{name}")
 
-    evidence = table(prepare_evidence(ingest(posts), settings, detector), "prepared_evidence")
-    require_unique(evidence)
+    ingested = ingest(posts)
+    if settings.repeated_ids == "stop":
+        require_unique(normalize_columns(posts).select("video_id").where("video_id is not null"))
+    else:
+        others = [F.xxhash64(*ingested.columns)]
+        ingested = keep_one(ingested, [F.asc_nulls_last("created_at"), *others])
+    evidence = table(prepare_evidence(ingested, settings, detector), "prepared_evidence")
     scores = table(lexicon.lexicon_scores(evidence, settings), "lexicon_scores")
     tagged = with_model_entities(evidence, make_entity_model) if make_entity_model else evidence
     found = table(entities.candidates(tagged, settings), "entity_candidates")
@@ -80,6 +102,14 @@ def run(
         ),
         "integrity_gates",
     )
+    checks = materialize(ingest_checks(posts))
+    dropped = materialize(
+        checks.select(F.lit("rows without id").alias("kind"), F.col("rows_without_id").alias("n")).unionByName(
+            missing_evidence(clusters, evidence).select(
+                F.lit("members without evidence").alias("kind"), F.col("missing").alias("n")
+            )
+        )
+    )
     counts = integrity.stage_counts(
         {
             "prepared": evidence,
@@ -87,17 +117,22 @@ def run(
             "entities_by_video": by_video,
             "clusters": clusters,
         }
-    ).unionByName(ingest_checks(posts).select(F.lit("raw").alias("stage"), F.col("raw_rows").alias("n")))
-    sinks.write_manifest(sinks.manifest(counts, gates, settings, output_dir), f"{base}/run_manifest")
+    ).unionByName(checks.select(F.lit("raw").alias("stage"), F.col("raw_rows").alias("n")))
+    sinks.write_manifest(sinks.manifest(counts, dropped, gates, settings, output_dir), f"{base}/run_manifest")
 
     top_tokens = token_noise_report(evidence, settings).persist()
     sinks.write_report(reports.noise_report(top_tokens, settings), f"{base}/token_noise_report")
     top_tokens.unpersist()
-    sinks.write_report(reports.ner_report(qa, by_video, settings), f"{base}/ner_qa_report")
+    sinks.write_report(reports.ner_report(qa, by_video, found, settings), f"{base}/ner_qa_report")
     sinks.write_report(reports.cluster_report(metrics, settings), f"{base}/cluster_qa_report")
-    sinks.write_report(reports.integrity_report(gates, settings), f"{base}/integrity_report")
-
-    status = gates.select("run_status").first()[0]
+    status, same_ids = gates.select("run_status", "hashes_match").first()
+    differences = None
+    if not same_ids:
+        differences = integrity.universe_differences(
+            {"evidence": evidence, "embeddings": embeddings, "entities_by_video": by_video, "clusters": clusters}
+        )
+    report = reports.integrity_report(gates, metrics, dropped, settings, differences)
+    sinks.write_report(report, f"{base}/integrity_report")
     if status == integrity.VALID:
         index = table(cards_ops.cluster_index(clusters, profiles, settings), "cluster_index")
         sinks.write_index(index, f"{base}/operator_cluster_index")

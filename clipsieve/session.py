@@ -1,4 +1,4 @@
-"""Session options the stages rely on, shared-storage materialisation and broadcast size checks."""
+"""Session options the stages rely on and shared-storage materialisation."""
 
 from __future__ import annotations
 
@@ -10,9 +10,6 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a count shows that it holds no more rows than this.
-BROADCAST_ROW_LIMIT = 500_000
-
 _SESSION_OPTIONS = {
     # Dates are derived in UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -40,7 +37,7 @@ def _ship_package(spark: SparkSession) -> None:
 
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Set the runtime options that the results depend on and make the package known to the workers;
-    call before building any stage."""
+    call before building any stage. The options stay set: the session's time zone is UTC from then on."""
     _ship_package(spark)
     for key, value in _SESSION_OPTIONS.items():
         if spark.conf.get(key, None) != value:
@@ -49,15 +46,11 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session. A private one is made only for local test sessions."""
+    """The checkpoint folder of the session, which all executors must share."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="clipsieve-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir, when the session is built, to a folder that all executors share")
+    return configured
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -75,23 +68,10 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used before steps that pass over the same rows many times: the lineage is cut, an executor that
-    is lost costs only a re-read, and each pass prunes to the columns that it needs.
+    is lost costs only a re-read, and each pass prunes to the columns that it needs. The files also tell
+    the planner their size, by which it decides on broadcasts.
     """
     spark = df.sparkSession
     path = f"{stage_root(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only when counting (at most ``limit + 1`` rows) proves the side small.
-
-    Beyond the limit the frame is returned as it is, and the planner shuffles both sides.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for an input of few splits; larger inputs, split by the scan, stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -53,6 +53,9 @@ DEFAULT_LEXICONS: Lexicons = {
 }
 
 
+MAX_TERMS_LIMIT = 100_000
+
+
 @dataclass(frozen=True)
 class NoiseLists:
     """Words left out of the topic and lexicon views; compared in lower case."""
@@ -79,6 +82,7 @@ class Settings:
     language_threshold: float = 0.5
     clustering_k: int = 25
     kmeans_starts: int = 10
+    parallel_fits: int = 10
     random_seed: int = 7
     embedding_dims: int = 64
     max_terms: int = 5000
@@ -90,6 +94,15 @@ class Settings:
     rules: str = "documented"
     lexicons: Lexicons = field(default_factory=lambda: DEFAULT_LEXICONS)
     noise: NoiseLists = field(default_factory=NoiseLists)
+    # Rows that repeat an id: "stop" the run, or "keep_one" (the earliest, then the least by all values).
+    repeated_ids: str = "stop"
+
+    def __post_init__(self) -> None:
+        # The vocabulary and the basis of its terms come to the driver.
+        if not 1 <= self.max_terms <= MAX_TERMS_LIMIT:
+            raise ValueError(f"max_terms must be from 1 to {MAX_TERMS_LIMIT}")
+        if self.repeated_ids not in ("stop", "keep_one"):
+            raise ValueError('repeated_ids must be "stop" or "keep_one"')
 
     @property
     def hashtag_repeat(self) -> int:

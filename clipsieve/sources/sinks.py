@@ -43,20 +43,26 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def manifest(
-    counts: DataFrame, gates: DataFrame, settings: Settings, output_dir: str
+    counts: DataFrame, dropped: DataFrame, gates: DataFrame, settings: Settings, output_dir: str
 ) -> DataFrame:
-    """One row: run id, output folder, row counts by stage, settings as JSON and the run status."""
-    counted = counts.agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("stage", "n")))).alias("row_counts")
-    )
-    merged = counted.unionByName(gates.select("run_status"), allowMissingColumns=True)
+    """One row: run id, output folder, row counts by stage, rows left out by kind, settings as JSON and the
+    run status."""
+
+    def as_map(rows: DataFrame, key: str, name: str) -> DataFrame:
+        return rows.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias(name))
+
+    merged = as_map(counts, "stage", "row_counts")
+    for part in (as_map(dropped, "kind", "dropped"), gates.select("run_status")):
+        merged = merged.unionByName(part, allowMissingColumns=True)
     return merged.agg(
         F.first("row_counts", ignorenulls=True).alias("row_counts"),
+        F.first("dropped", ignorenulls=True).alias("dropped"),
         F.max("run_status").alias("run_status"),
     ).select(
         F.lit(settings.run_id).alias("run_id"),
         F.lit(output_dir).alias("output_dir"),
         "row_counts",
+        "dropped",
         F.lit(json.dumps(_plain(settings.as_dict()), sort_keys=True)).alias("config"),
         "run_status",
     )

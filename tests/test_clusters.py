@@ -191,10 +191,7 @@ def test_coherence_and_flags(spark):
     )
 
 
-@pytest.mark.parametrize("whole", [100_000, 10])
-def test_quantiles_of_skewed_groups(spark, monkeypatch, whole):
-    """With ``whole`` at 10 all groups take the bracketed way."""
-    monkeypatch.setattr(quantiles, "_WHOLE", whole)
+def test_quantiles_of_skewed_groups(spark):
     rng = np.random.default_rng(11)
     groups = {
         0: rng.normal(size=30_000),
@@ -212,8 +209,11 @@ def test_quantiles_of_skewed_groups(spark, monkeypatch, whole):
         assert mine == pytest.approx({q: np.quantile(data, q) for q in probabilities}, abs=1e-12)
 
 
-def test_large_top_n_equals_plain_ranking(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "_PRUNED_BEFORE_SHUFFLE", 5)
+@pytest.mark.parametrize("limit", ["5", "1000"])
+def test_large_top_n_equals_plain_ranking(spark, request, limit):
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(key, limit)
+    request.addfinalizer(lambda: spark.conf.unset(key))
     rows = [(i % 2 if i % 3 else 0, f"t{i:04d}", (i * 7919) % 97) for i in range(1500)]
     frame = spark.createDataFrame(rows, "g int, term string, total int")
     order = [F.desc("total"), F.asc("term")]
@@ -223,3 +223,43 @@ def test_large_top_n_equals_plain_ranking(spark, monkeypatch):
         inside = sorted((-total, term) for g, term, total in rows if g == group)[:40]
         expected += [(group, i + 1, term) for i, (_, term) in enumerate(inside)]
     assert found == expected
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 5])
+def test_exact_quantiles_of_skewed_groups(spark, monkeypatch, accuracy):
+    """One path for every size; a coarse sketch costs time, not exactness."""
+    monkeypatch.setattr(quantiles, "_ACCURACY", accuracy)
+    big = spark.range(1_000_000 if accuracy > 5 else 50_000).select(
+        F.lit("big").alias("g"), F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("v")
+    )
+    ties = spark.range(5000).select(F.lit("ties").alias("g"), F.when(F.col("id") < 4900, 1.0).otherwise(F.col("id")).alias("v"))
+    small = spark.createDataFrame([("one", 4.0), ("two", 1.0), ("two", 2.0), ("none", None)], "g string, v double")
+    rows = big.unionByName(ties).unionByName(small)
+    probabilities = (0.0, 0.25, 0.5, 0.75, 1.0)
+    found = {
+        (r["g"], r["probability"]): r["quantile"] for r in quantiles.exact_quantiles(rows, "g", "v", probabilities).collect()
+    }
+    expected = {}
+    for name, own in rows.where("v is not null").toPandas().groupby("g"):
+        for q in probabilities:
+            expected[name, q] = float(np.quantile(own["v"], q))
+    assert found.keys() == expected.keys()
+    assert all(abs(found[k] - expected[k]) < 1e-9 for k in expected)
+
+
+def test_keywords_by_either_join(spark):
+    """The plan follows the size of the vocabulary in bytes; the result does not."""
+    texts = evidence(spark).select(F.lit(1).alias("cluster_id"), "video_id", "topic_text", F.array().cast("array<string>").alias("hashtags_list_norm"))
+    found, plans = [], []
+    for limit in ("10485760", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", limit)
+        try:
+            words = tfidf.cluster_keywords(texts, Settings(), [])
+            plans.append(words._jdf.queryExecution().executedPlan().toString())
+            found.append(sorted(map(tuple, words.collect())))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert found[0] == found[1]
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]

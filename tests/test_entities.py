@@ -113,3 +113,32 @@ def test_model_replaces_the_phrase_rule(spark):
         ("Acme", "ORG_BRAND", 0.8),
         ("Bo", "PERSON", 0.7),
     ]
+
+
+def test_long_posts_pass_every_stage(spark):
+    """Phrases, tokens and keywords of posts with 100,000 words, where a recursive pattern would end the JVM."""
+    from clipsieve.operators import lexicon, profiles
+
+    posts = [
+        ("a", " ".join(["Word"] * 100_000), "[]"),
+        ("b", " ".join(["same"] * 100_000), "[]"),
+        ("c", "Aa " * 50_000 + "#tag " * 1000, "tag"),
+    ]
+    rows = evidence(spark, posts)
+    found = entities.candidates(rows, SETTINGS)
+    assert entities.mentions(found).select("video_id").distinct().count() >= 1
+    assert lexicon.lexicon_scores(rows, SETTINGS).count() == 3
+    members = spark.createDataFrame([(x, 1) for x in "abc"], "video_id string, cluster_id int")
+    texts = profiles.cluster_texts(members, rows)
+    assert profiles.median_topic_length(texts).first()["median_topic_length"] >= 0
+    assert profiles.cluster_keywords(texts, SETTINGS, []).count() >= 1
+
+
+def test_model_confidence_of_zero_stays(spark):
+    rows = evidence(spark, [("a", "Some Body", "[]"), ("b", "Other Body", "[]")])
+
+    def make_model():
+        return lambda texts: [[(t, "PERSON", 0.0 if t.startswith("Some") else None)] for t in texts]
+
+    found = {r["video_id"]: r["model_entities"][0]["confidence"] for r in with_model_entities(rows, make_model).collect()}
+    assert found == {"a": 0.0, "b": 0.8}

@@ -2,6 +2,7 @@
 
 import csv
 import json
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from clipsieve import Settings, schemas
 from clipsieve.operators import cards, integrity, profiles
 from clipsieve.plans.review_run import run
+from clipsieve.session import shared_folder, stage_root
 
 TOPICS = [
     ("Soccer", "soccer match goal football stadium", "soccer goal"),
@@ -99,6 +101,7 @@ def test_reports_and_manifest(valid_run):
         "entities_by_video": 36,
         "clusters": 36,
     }
+    assert manifest["dropped"] == {"rows without id": 0, "members without evidence": 0}
     assert json.loads(manifest["config"])["clustering_k"] == 3
     report = lines(folder, "integrity_report")
     assert report[:3] == ["# Integrity report", "Run: run-1", f"Run status: {integrity.VALID}"]
@@ -123,7 +126,31 @@ def test_invalid_run_withholds_cards(spark, tmp_path):
     failures = result.gates.first()["gate_failures"]
     assert failures[0] == "Gate1: universe hash mismatch" and "Gate3: NER join coverage low" in failures
     assert not Path(tmp_path / "operator_cards").exists()
-    assert "- Gate1: universe hash mismatch" in lines(tmp_path, "integrity_report")
+    report = lines(tmp_path, "integrity_report")
+    assert "- Gate1: universe hash mismatch" in report
+    assert "- stage entities_by_video: 5 ids missing, 0 ids repeated" in report
+
+
+def test_rows_left_out_are_reported(spark, tmp_path):
+    """Null ids, repeated ids of which one row stays, rejected candidates; no stage folder is left."""
+    posts = make_posts(spark, 2)
+    nameless = posts.limit(2).withColumn(posts.columns[0], F.lit(None).cast("string"))
+    result = run(
+        spark, posts.unionByName(posts).unionByName(nameless), str(tmp_path), replace(SETTINGS, repeated_ids="keep_one")
+    )
+    manifest = json.loads(lines(tmp_path, "run_manifest")[0])
+    assert manifest["row_counts"]["raw"] == 2 * posts.count() + 2
+    assert result.evidence.count() == posts.count() and manifest["dropped"]["rows without id"] == 2
+    assert "- rows without id: 2" in lines(tmp_path, "integrity_report")
+    assert "## Rejected candidates of all posts" in lines(tmp_path, "ner_qa_report")
+    folder = Path(stage_root(spark).removeprefix("file:"))
+    assert not folder.exists()
+
+
+def test_settings_are_checked():
+    for wrong in ({"max_terms": 0}, {"max_terms": 10**7}, {"repeated_ids": "maybe"}):
+        with pytest.raises(ValueError):
+            replace(SETTINGS, **wrong)
 
 
 def test_repeated_ids_stop_a_run(spark, tmp_path):
@@ -200,3 +227,14 @@ def test_missing_evidence_is_counted(valid_run):
     fewer = result.evidence.filter("video_id > 'v002'")
     assert profiles.missing_evidence(result.clusters, fewer).first()[0] == 3
     assert profiles.cluster_texts(result.clusters, fewer).count() == 33
+
+
+def test_missing_stage_folder_is_named():
+    class Unset:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Unset)

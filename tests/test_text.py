@@ -92,7 +92,7 @@ def test_language_filter(spark):
     assert kept(Settings()) == ["1"]
     assert kept(Settings(language_threshold=0.7)) == []
     assert sorted(kept(Settings(english_only=False))) == ["1", "2"]
-    seen = language_detector(lambda value: (value[:2], 0.9))
+    seen = language_detector(lambda: lambda texts: [(value[:2], 0.9) for value in texts])
     assert kept(Settings(), seen) == ["1"]
     empty = evidence(spark, [("3", "", None)], Settings(english_only=False), detector=seen).first()
     assert (empty["language_pred"], empty["language_conf"]) == ("unknown", 0.0)
