@@ -89,4 +89,40 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-SQL: dict[str, str] = {}
+# Only exact window comparisons can be put in SQL: the others rest on hashes, automata, vocabularies,
+# compression, spans by look-behind or sums of doubles, and are tested against plain versions.
+SQL: dict[str, str] = {
+    "op9_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+        windows AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS w
+                    FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d)),
+        later AS (SELECT doc_id, i FROM (
+                    SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS k FROM windows)
+                  WHERE k > 1),
+        marked AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100
+                   THEN 0 ELSE 1 END AS begins FROM later),
+        runs AS (SELECT doc_id, i, sum(begins) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+        spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY ALL),
+        pieces AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since
+                   FROM spans),
+        cut AS (SELECT p.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+                string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS head
+                FROM pieces p JOIN d USING (doc_id) GROUP BY p.doc_id)
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN cut USING (doc_id)""",
+    "op10_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                   lambda x: x <> '') AS words FROM documents),
+        windows AS (SELECT doc_id, i, md5_number(array_to_string(words[i:i + 34], ' ')) AS w
+                    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM d)),
+        repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY w) AS k FROM windows)
+                     WHERE k > 1),
+        gone AS (SELECT DISTINCT doc_id, i + o AS j FROM repeated, range(0, 35) AS t(o)),
+        word AS (SELECT doc_id, unnest(words) AS x, generate_subscripts(words, 1) AS j FROM d),
+        kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS text, count(*) AS n
+                 FROM word ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+        SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+}
