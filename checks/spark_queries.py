@@ -17,6 +17,7 @@ from clipsieve.functions.dates import epoch_seconds, utc_date
 from clipsieve.operators import cards, clustering, entities, integrity, lexicon, noise, profiles, quantiles, tfidf
 from clipsieve.operators.embedding import embed as embed_stage
 from clipsieve.operators.evidence import insufficient, language_columns, prepare_evidence
+from clipsieve.functions.vectors import cosine
 from clipsieve.session import materialize, prepare_session
 from clipsieve.sources import posts
 
@@ -697,3 +698,73 @@ def cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = materialize(embed_stage(evidence, SETTINGS))
     clusters, _ = clustering.cluster_embeddings(embeddings, evidence, SETTINGS)
     return clusters
+
+
+# Facts that hold whatever the random start was
+
+
+def _squared(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x)
+
+
+def _literal(vectors) -> Column:
+    return F.array(*[F.array(*[F.lit(float(x)) for x in vector]) for vector in vectors])
+
+
+@query
+def kmeans_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, those in their nearest center, those with the best cosine as strength, and whether the fit costs
+    no more than the means of the given labels."""
+    labelled = materialize(members(spark, sf_dir))
+    model = clustering.fit_kmeans(labelled.drop("cluster_id"), SETTINGS)
+    centers = _literal(model.clusterCenters())  # at most clustering_k
+    placed = clustering.assign(labelled.drop("cluster_id"), model)
+    apart = F.transform(centers, lambda c: _squared(F.col("embedding").cast("array<double>"), c))
+    cosines = F.transform(centers, lambda c: cosine(F.col("embedding"), c))
+    judged = placed.select("cluster_id", "strength", apart.alias("apart"), F.array_max(cosines).alias("best"))
+    own = F.col("apart")[F.col("cluster_id")]
+    found = judged.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(own <= F.array_min("apart") + 1e-9).alias("nearest"),
+        F.count_if(F.abs(F.col("strength") - F.col("best")) <= 1e-6).alias("strong"),
+        F.sum(own).alias("cost"),
+    )
+    means = labelled.join(clustering.centroids(labelled), "cluster_id")
+    plain = means.agg(F.sum(_squared(F.col("embedding").cast("array<double>"), F.col("centroid"))).alias("plain"))
+    return found.crossJoin(plain).select("n", "nearest", "strong", (F.col("cost") <= F.col("plain")).alias("cheap"))
+
+
+@query
+def embed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, those no longer than the unit vectors they come from, and whether the dimensions are uncorrelated
+    and ordered by the length they keep."""
+    rows = materialize(embed_stage(materialize(evidence_rows(spark, sf_dir)), SETTINGS))
+    length = F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x * x)
+    inside = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(length <= 1 + 1e-9).alias("inside"))
+    item = rows.select("embedding", F.posexplode("embedding").alias("i", "x"))
+    products = item.select("i", F.posexplode(F.transform("embedding", lambda y: y * F.col("x"))).alias("j", "p"))
+    grams = products.groupBy("i", "j").agg(F.sum("p").alias("p"))  # dimensions squared
+    diagonal = grams.where("i = j")
+    ordered = diagonal.select(
+        F.array_sort(F.collect_list(F.struct("i", "p"))).alias("own")
+    ).select(F.transform("own", lambda x: F.round(x["p"], 6)).alias("kept"))
+    largest = F.max(F.when(F.col("i") == F.col("j"), F.col("p")))
+    beside = F.max(F.when(F.col("i") != F.col("j"), F.abs("p")))
+    judged = grams.agg((beside <= 1e-6 * largest).alias("uncorrelated")).crossJoin(
+        ordered.select((F.col("kept") == F.reverse(F.array_sort("kept"))).alias("ordered"))
+    )
+    return inside.crossJoin(judged)
+
+
+@query
+def cluster_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, those with a cosine as strength, and whether each cluster has the flag that its metrics say."""
+    evidence = materialize(evidence_rows(spark, sf_dir))
+    embeddings = materialize(embed_stage(evidence, SETTINGS))
+    clusters, found = clustering.cluster_embeddings(embeddings, evidence, SETTINGS)
+    bucket = clustering.is_platform_bucket(F.col("pct_insufficient_topic"), F.col("coherence"))
+    return clusters.join(found, "cluster_id", "left").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.abs("strength") <= 1 + 1e-9).alias("bounded"),
+        F.count_if(F.col("is_noise") == bucket).alias("flagged_right"),
+    )

@@ -23,6 +23,8 @@ POWER_PASSES = 5
 _CHUNK_ENTRIES = 32_768
 # Terms whose partial sums travel as one row.
 _BLOCK_TERMS = 64
+# Slices in which the tasks' sums of a block are added up first.
+_SALTS = 64
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int, int]]:
@@ -92,9 +94,13 @@ def _gram_product(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
         )
 
     partial = vectors.select("indices", "values").mapInArrow(run, "block int, part array<double>")
-    summed = partial.groupBy("block").agg(
-        vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part")
-    )
+    # Two levels, so that no reducer gets a block from every task.
+    salted = partial.withColumn("_salt", F.spark_partition_id() % _SALTS)
+    for keys in (["block", "_salt"], ["block"]):
+        salted = salted.groupBy(*keys).agg(
+            vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part")
+        )
+    summed = salted
     product = np.zeros((blocks, _BLOCK_TERMS * width))
     for row in summed.collect():
         product[row["block"]] = row["part"]
