@@ -24,8 +24,9 @@ MAX_LETTERS = 250
 SEGMENT = 512
 
 UNKNOWN = "und"
-#: Texts of a known language need about half of it, short ones with names and numbers up to 6.
-MOST_BITS = 7.0
+#: Texts of a known language need 2 to 3, short ones with names and numbers up to 7; texts whose letters the
+#: sample does not have need 15.
+MOST_BITS = 10.0
 
 
 class SuffixAutomaton:
