@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipsieve.llm.components import connected
-from clipsieve.llm.stages import write_stage
+from clipsieve.llm.stages import release_shuffles, write_stage
 from clipsieve.llm.texts import map_batches, texts_of, to_arrow
 from clipsieve.llm.windows import mix
 
@@ -299,6 +299,7 @@ def keep_one(
     asked = found.select(F.col("a").alias("fp")).union(found.select("b")).distinct()
     asked = asked.join(distinct.select("fp", "first.doc_id", "first.tie"), "fp")
     same_row = rows["doc_id"].eqNullSafe(asked["doc_id"]) & rows["tie"].eqNullSafe(asked["tie"])
+    release_shuffles(docs.sparkSession)
     sets = write_stage(_shingle_sets(rows.join(asked, same_row).select("fp", "text"), shingle))
     left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("grams_a"))
     right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("grams_b"))
@@ -311,6 +312,8 @@ def keep_one(
         F.min("first").alias("first")
     )
     stays = write_stage(first.select("first.doc_id", "first.tie"))
+    del sets, left, right, confirmed, roots
+    release_shuffles(docs.sparkSession)
     whole = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("tie"))
     same_row = whole["doc_id"].eqNullSafe(stays["doc_id"]) & whole["tie"].eqNullSafe(stays["tie"])
     kept = whole.join(stays, same_row, "left_semi").dropDuplicates(["doc_id", "tie"])

@@ -385,6 +385,8 @@ def removed_spans(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc, tie, spans``: for each document (null id: NULL_ID) with something to remove, its spans in units
     (start, end exclusive), which may overlap."""
     first = write_stage(_compare(_cell_rows(docs, rule), ["h"], rule, leave_open=True))
+    # Each step moves about as much as the input; the files of one go before the next begins.
+    release_shuffles(docs.sparkSession)
     windows = _open_windows(docs, first.where(F.col("kind") == OPEN), rule)
     second = write_stage(_compare(windows, ["h", "c"], rule, leave_open=False))
     del windows
