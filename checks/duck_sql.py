@@ -581,3 +581,29 @@ SQL["embed_facts"] = """
     SELECT count(*) AS n, count(*) AS inside, true AS uncorrelated, true AS ordered FROM documents"""
 SQL["cluster_facts"] = """
     SELECT count(*) AS n, count(*) AS bounded, count(*) AS flagged_right FROM documents"""
+
+# What is read back from a sink is what was written.
+for _sink, _query in {
+    "sink_evidence": "prepare_evidence",
+    "sink_lexicon": "lexicon_scores",
+    "sink_mentions": "mentions",
+    "sink_entities": "entities_by_video",
+    "sink_embeddings": "embed_ids",
+    "sink_profiles": "profiles",
+    "sink_index": "cluster_index",
+    "sink_manifest": "stage_counts",
+}.items():
+    SQL[_sink] = SQL[_query]
+SQL["sink_clusters"] = f"SELECT video_id, cluster_id, is_noise FROM ({SQL['platform_bucket']})"
+SQL["sink_report"] = f"SELECT '- ' || token || ': ' || n AS line FROM ({SQL['token_noise_report']})"
+SQL["hook_detector"] = f"""
+    SELECT video_id, CASE WHEN seen THEN 'en' ELSE 'xx' END AS language_pred,
+           CASE WHEN seen THEN 0.9::DOUBLE ELSE 0.25::DOUBLE END AS language_conf, seen AS language_keep
+    FROM (SELECT video_id, contains(desc_raw, ' the ') AS seen FROM ({SQL['ingest']}))"""
+SQL["hook_encoder"] = f"""
+    SELECT video_id, length(topic_text)::DOUBLE AS chars,
+           (length(topic_text) - length(replace(topic_text, 'e', '')))::DOUBLE AS es FROM ({SQL['topic_text']})"""
+SQL["hook_entities"] = f"""
+    SELECT video_id, word AS surface, 'PERSON' AS type,
+           CASE WHEN length(word) % 2 = 1 THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END AS confidence
+    FROM (SELECT video_id, split_part(ner_text, ' ', 1) AS word FROM ({SQL['ner_text']}))"""

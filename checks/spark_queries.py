@@ -5,6 +5,7 @@ Lists are shown as joined text and doubles are rounded, so that both engines giv
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,12 +15,14 @@ from checks.setup import CHECK_STOP_WORDS, SETTINGS, as_posts, members, table, v
 from clipsieve.functions import text
 from clipsieve.functions.arrays import explode_items
 from clipsieve.functions.dates import epoch_seconds, utc_date
-from clipsieve.operators import cards, clustering, entities, integrity, lexicon, noise, profiles, quantiles, tfidf
+from clipsieve.operators import (
+    cards, clustering, entities, hooks, integrity, lexicon, noise, profiles, quantiles, reports, tfidf,
+)
 from clipsieve.operators.embedding import embed as embed_stage
 from clipsieve.operators.evidence import insufficient, language_columns, prepare_evidence
 from clipsieve.functions.vectors import cosine
-from clipsieve.session import materialize, prepare_session
-from clipsieve.sources import posts
+from clipsieve.session import materialize, prepare_session, stage_root
+from clipsieve.sources import posts, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -768,3 +771,122 @@ def cluster_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.abs("strength") <= 1 + 1e-9).alias("bounded"),
         F.count_if(F.col("is_noise") == bucket).alias("flagged_right"),
     )
+
+
+# Sinks, written to the shared stage folder and read back, and hooks with small deterministic models
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{stage_root(spark)}/{uuid.uuid4().hex}"
+
+
+@query
+def sink_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = ["hashtags_list_raw", "hashtags_list_norm", "lex_tokens", "noise_hits"]
+    rows = sinks.write_table(evidence_rows(spark, sf_dir), _folder(spark))
+    return rows.withColumns({name: shown(name) for name in lists})
+
+
+@query
+def sink_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lexicon.lexicon_scores(evidence_rows(spark, sf_dir), SETTINGS)
+    return lexicon.score_rows(sinks.write_table(scores, _folder(spark)), SETTINGS)
+
+
+@query
+def sink_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.write_table(found_mentions(spark, sf_dir), _folder(spark))
+
+
+@query
+def sink_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sinks.write_table(entities.entities_by_video(found_entities(spark, sf_dir)), _folder(spark))
+    entries = explode_items(rows, ["video_id"], F.map_entries("entities_by_type"))
+    return entries.select(
+        "video_id", F.col("item.key").alias("entity_type"), shown("item.value").alias("entities")
+    )
+
+
+@query
+def sink_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = embed_stage(materialize(evidence_rows(spark, sf_dir)), SETTINGS)
+    stored = sinks.write_table(rows, _folder(spark))
+    return stored.select("video_id", F.size("embedding").cast("bigint").alias("dims"))
+
+
+@query
+def sink_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = clustering.flag_members(with_strength(spark, sf_dir), materialize(metrics(spark, sf_dir)))
+    return sinks.write_table(rows, _folder(spark)).select("video_id", "cluster_id", "is_noise")
+
+
+@query
+def sink_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, folder = profile_rows(spark, sf_dir), _folder(spark)
+    sinks.write_profiles(rows, folder)
+    stored = spark.read.schema(rows.schema).json(folder)
+    return stored.select("cluster_id", "size", *[rounded(name).alias(name) for name in _PROFILE_VALUES])
+
+
+@query
+def sink_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cards.cluster_index(with_strength(spark, sf_dir), profile_rows(spark, sf_dir), SETTINGS)
+    folder = _folder(spark)
+    sinks.write_index(rows, folder)
+    stored = spark.read.schema(rows.schema).csv(folder, header=True)
+    plain = ["cluster_id", "size", "recommended_action"]
+    values = [name if name in plain else rounded(name).alias(name) for name in rows.columns if name != "flags"]
+    return stored.select(F.coalesce("flags", F.lit("")).alias("flags"), *values)
+
+
+@query
+def sink_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _folder(spark)
+    sinks.write_report(
+        reports.noise_report(noise.token_noise_report(evidence_rows(spark, sf_dir), SETTINGS), SETTINGS), folder
+    )
+    return spark.read.text(folder).where("value LIKE '- %'").select(F.col("value").alias("line"))
+
+
+@query
+def sink_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = integrity.stage_counts(_stages(spark, sf_dir))
+    nothing = spark.range(1).select(F.lit("rows without id").alias("kind"), F.lit(0).cast("bigint").alias("n"))
+    gates = spark.range(1).select(F.lit(integrity.VALID).alias("run_status"))
+    folder = _folder(spark)
+    sinks.write_manifest(sinks.manifest(counts, nothing, gates, SETTINGS, folder), folder)
+    stored = spark.read.schema("row_counts map<string,bigint>").json(folder)
+    return stored.select(F.explode("row_counts").alias("stage", "n"))
+
+
+@query
+def hook_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def make_detect():
+        return lambda texts: [("en", 0.9) if " the " in text else ("xx", 0.25) for text in texts]
+
+    found = language_columns(F.col("desc_raw"), SETTINGS, hooks.language_detector(make_detect))
+    return ingested(spark, sf_dir).withColumns(found).select("video_id", "language_pred", "language_conf", "language_keep")
+
+
+@query
+def hook_encoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def make_encoder():
+        return lambda texts: [[float(len(text)), float(text.count("e"))] for text in texts]
+
+    rows = hooks.encode(evidence_rows(spark, sf_dir), make_encoder)
+    return rows.select("video_id", F.col("embedding")[0].alias("chars"), F.col("embedding")[1].alias("es"))
+
+
+@query
+def hook_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def make_model():
+        def tag(text: str):
+            word = text.split(" ")[0]
+            return [(word, "PERSON", None if len(word) % 2 else 0.0), (word, "LANGUAGE", 0.5)]
+
+        return lambda texts: [tag(text) for text in texts]
+
+    rows = hooks.with_model_entities(evidence_rows(spark, sf_dir), make_model)
+    return rows.select("video_id", F.explode("model_entities").alias("e")).select(
+        "video_id", "e.surface", "e.type", "e.confidence"
+    )
