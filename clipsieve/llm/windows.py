@@ -257,7 +257,9 @@ def _cell_rows(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, _ROWS)
 
 
-def _compare(rows: DataFrame, keys: list[str], rule: Rule, leave_open: bool) -> DataFrame:
+def _compare(
+    rows: DataFrame, keys: list[str], rule: Rule, leave_open: bool, block_rows: int = ROWS
+) -> DataFrame:
     """Settle rows across tasks. With ``leave_open``, a gram with cells that differ gives OPEN rows, one for
     each different cell. A partition is read in order and in bounded blocks; between blocks one row is kept."""
     schema = to_arrow(_parsed(_ROWS))
@@ -309,7 +311,7 @@ def _compare(rows: DataFrame, keys: list[str], rule: Rule, leave_open: bool) ->
         for batch in batches:
             parts.append({k: batch.column(k).to_numpy(zero_copy_only=False) for k in _COLUMNS})
             held += batch.num_rows
-            if held >= ROWS:
+            if held >= block_rows:
                 yield from flush(False)
         yield from flush(True)
 
@@ -381,14 +383,14 @@ def window_hashes(values: np.ndarray, at: np.ndarray, length: int) -> np.ndarray
     return out
 
 
-def removed_spans(docs: DataFrame, rule: Rule) -> DataFrame:
+def removed_spans(docs: DataFrame, rule: Rule, block_rows: int = ROWS) -> DataFrame:
     """``doc, tie, spans``: for each document (null id: NULL_ID) with something to remove, its spans in units
     (start, end exclusive), which may overlap."""
-    first = write_stage(_compare(_cell_rows(docs, rule), ["h"], rule, leave_open=True))
+    first = write_stage(_compare(_cell_rows(docs, rule), ["h"], rule, True, block_rows))
     # Each step moves about as much as the input; the files of one go before the next begins.
     release_shuffles(docs.sparkSession)
     windows = _open_windows(docs, first.where(F.col("kind") == OPEN), rule)
-    second = write_stage(_compare(windows, ["h", "c"], rule, leave_open=False))
+    second = write_stage(_compare(windows, ["h", "c"], rule, False, block_rows))
     del windows
     release_shuffles(docs.sparkSession)
     spans = first.where(F.col("kind") == SPAN).unionByName(second)

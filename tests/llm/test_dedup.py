@@ -71,6 +71,27 @@ def test_suffix_dedup(docs, rows):
     assert got == expected and sum(x[1] for x in expected.values()) > 0
 
 
+@pytest.mark.parametrize("rule", [suffix_dedup.rule(), substring_dedup.rule()], ids=["bytes", "words"])
+def test_groups_cut_apart_between_blocks(spark, docs, rule):
+    """A partition read in blocks of a few rows gives the spans of one read at once."""
+
+    def spans(block_rows):
+        found = windows.removed_spans(docs, rule, block_rows).collect()
+        out = set()
+        for r in found:
+            for s in r["spans"]:
+                out |= {(r["doc"], r["tie"], i) for i in range(s["start"], s["end"])}
+        return out
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "3")
+    try:
+        small = spans(3)
+    finally:
+        spark.conf.unset(key)
+    assert small == spans(windows.ROWS) and small
+
+
 @pytest.mark.parametrize("block", [5, 1 << 19])
 def test_small_blocks_remove_the_same(spark, docs, rows, monkeypatch, block):
     """Blocks that cut groups apart give the same result; workers see the bounds through the closure."""
