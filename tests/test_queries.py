@@ -9,11 +9,12 @@ from checks.duck_sql import SQL
 from checks.spark_queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="needs the given tables")
 
 
 @pytest.fixture(scope="module")
 def connection():
+    if not Path(SF_DIR).exists():
+        pytest.fail(f"the given tables are needed in {SF_DIR}")
     return duck(SF_DIR)
 
 
