@@ -57,6 +57,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return majority(shingle_hashes(text, shingle))
 
 
+def set_name(grams: np.ndarray) -> int:
+    """The hash of a sorted set of shingle hashes, as a signed long."""
+    return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes(), SEED)).view(np.int64))
+
+
 def wide_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
     """Several words of 64 bits, each from the hashes spread anew."""
     steps = [np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)) for k in range(words)]
@@ -261,21 +266,21 @@ def keep_one(
     least ``doc_id`` (null last), of rows that share it the one with the least text hash.
 
     Candidates differ in at most ``radius`` of ``words * 64`` bits; their links (a spanning forest, near ones
-    first) are confirmed by the Jaccard similarity of their sets of ``shingle`` words. Texts with equal
-    fingerprints are one text here, so all rows without a word, null ones too, are one group. An empty table
-    stays empty.
+    first) are confirmed by the Jaccard similarity of their sets of ``shingle`` words. Fingerprints are of
+    these sets, without repeats. Texts with equal sets (by a hash of 64 bits) are one text here, so all rows
+    without a word, null ones too, are one group. An empty table stays empty.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
 
     def run(batch):
         names, codes, ones, sizes = [], [], [], []
         for text in texts_of(batch):
-            hashes = shingle_hashes(text, shingle)
-            code = wide_fingerprint(hashes, words)
+            grams = np.unique(shingle_hashes(text, shingle))
+            code = wide_fingerprint(grams, words)
             codes.append(code.tobytes())
-            names.append(int(np.int64(np.uint64(xxhash.xxh64_intdigest(codes[-1], SEED)).view(np.int64))))
+            names.append(set_name(grams))
             ones.append(int(np.bitwise_count(code).sum()))
-            sizes.append(len(np.unique(hashes)))
+            sizes.append(len(grams))
         yield {
             "doc_id": batch.column("doc_id"), "tie": batch.column("tie"), "fp": names, "code": codes,
             "ones": ones, "n_grams": sizes,

@@ -57,6 +57,15 @@ def test_keep_one(spark, repeated, empty):
     assert simhash.keep_one(empty).collect() == []
 
 
+def test_keep_one_compares_sets_without_repeats(spark):
+    """Filler that is repeated does not make texts equal, nor texts of one set different."""
+    filler = " ".join(f"f{i}" for i in range(23))
+    own = [" ".join(f"{x}{i}" for i in range(400)) for x in "ab"]
+    rows = [(1, f"{filler} " * 200 + own[0]), (2, f"{filler} " * 200 + own[1]), (3, f"{filler} " * 2 + own[0])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.keep_one(frame).collect()) == [1, 2]
+
+
 def test_connected_long_path(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (None, 3), (200, 200)]
     found = {r["node"]: r["root"] for r in components.connected(spark.createDataFrame(links, "a long, b long")).collect()}
