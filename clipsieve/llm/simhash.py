@@ -25,8 +25,11 @@ from clipsieve.llm.windows import mix
 SEED, SHINGLE, RADIUS = 42, 3, 2
 #: Parts of a fingerprint that are counted alone, and about how many fingerprints a block has.
 PARTS, BLOCK_ROWS = 4, 1 << 14
-#: For ``keep_one``: words of 64 bits, bits by which candidates may differ, least Jaccard similarity.
-WIDE, WIDE_RADIUS, SIMILARITY = 4, 56, 0.8
+#: For ``keep_one``: words of 64 bits, bits by which candidates may differ, least Jaccard similarity. Sets at
+#: that similarity are 25 to 40 bits apart on average (standard deviation 6), but sets of 4 and 5 are 48.
+WIDE, WIDE_RADIUS, SIMILARITY = 4, 76, 0.8
+#: Sets of at most so many shingles are also candidates with every set that they have one shingle more than.
+SMALL = 8
 _CELLS = 1 << 21  # exclusive-ors at once
 _AT_ONCE = 1 << 15  # hashes whose bits are counted at once
 
@@ -121,7 +124,7 @@ class _Forest:
 
 def _compare(left: np.ndarray, right: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places in two arrays (one row of 64-bit words per fingerprint) of pairs within the radius, nearest
-    first. Wide fingerprints are compared by all but their last word first."""
+    first of some rows of the left array at a time. Wide fingerprints are compared by all but their last word first."""
     words = left.shape[1]
     front = max(1, words - 1)
     step = max(1, _CELLS // max(1, len(right)))
@@ -147,10 +150,11 @@ def links(
     code: Column | None = None,
     band: Column | None = None,
     block_rows: int = BLOCK_ROWS,
+    root: Column | None = None,
 ) -> DataFrame:
     """``a, b``: links that connect all ``fp`` of ``distinct`` (all different) which links of at most
-    ``radius`` bits connect. Within a pair of blocks only a spanning forest of its links is returned, near
-    ones first.
+    ``radius`` bits connect. Within a pair of blocks only a spanning forest of its links is returned. With
+    ``root``, a long, all links between different roots are returned and none inside one.
 
     ``counts`` are the population counts of parts, each below ``side``; ``width`` counts share a tile.
     ``code`` is the whole fingerprint where ``fp`` is only its name. With ``band``, a number from 0 to 127,
@@ -160,8 +164,8 @@ def links(
     sides = [-(-side // width)] * len(counts) + ([128] if band is not None else [])
     scale = [int(np.prod(sides[:i], dtype=np.int64)) for i in range(len(sides))]
     tile = sum((b * k for b, k in zip(bins, scale)), F.lit(0).cast("long"))
-    held = ["fp"] if code is None else ["fp", "code"]
-    named = [F.col("fp")] if code is None else [F.col("fp"), code.alias("code")]
+    extra = {k: v for k, v in (("code", code), ("root", root)) if v is not None}
+    held, named = ["fp", *extra], [F.col("fp"), *[v.alias(k) for k, v in extra.items()]]
     rows = distinct.select(*named, tile.alias("tile"), F.array(*bins).alias("bins"))
     # At most as many rows as tiles, which the sides bound.
     blocks = rows.groupBy("tile").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
@@ -190,7 +194,8 @@ def links(
         key, homes, forest = None, [], _Forest()
         for batch in batches:
             fp = batch.column("fp").to_numpy()
-            if len(held) == 1:
+            roots = fp if root is None else batch.column("root").to_numpy()
+            if code is None:
                 codes = fp.view(np.uint64).reshape(-1, 1)
             else:
                 codes = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint64).reshape(len(fp), -1)
@@ -203,11 +208,17 @@ def links(
                     continue
                 if key != (place[0, begin], place[1, begin]):
                     key, homes, forest = (place[0, begin], place[1, begin]), [], _Forest()
-                mine, own_codes = fp[begin:end], codes[begin:end]
+                mine, own_codes, own_roots = fp[begin:end], codes[begin:end], roots[begin:end]
                 if not place[2, begin]:
-                    homes.append((mine, own_codes))  # so that the stretch is also compared with itself
-                for other, other_codes in homes:
+                    homes.append((mine, own_codes, own_roots))  # so that the stretch is also compared with itself
+                for other, other_codes, other_roots in homes:
                     for i, j in _compare(own_codes, other_codes, radius):
+                        if root is not None:
+                            apart = own_roots[i] != other_roots[j]
+                            if apart.any():
+                                found = {"a": mine[i[apart]], "b": other[j[apart]]}
+                                yield pa.RecordBatch.from_pydict(found, schema=arrow)
+                            continue
                         pairs = zip(mine[i].tolist(), other[j].tolist())
                         out += [p for p in pairs if p[0] != p[1] and forest.joins(*p)]
             if out:
@@ -265,15 +276,17 @@ def keep_one(
     """The rows of ``docs`` (all columns) without near-duplicates: one of each group stays, the one with the
     least ``doc_id`` (null last), of rows that share it the one with the least text hash.
 
-    Candidates differ in at most ``radius`` of ``words * 64`` bits; their links (a spanning forest, near ones
-    first) are confirmed by the Jaccard similarity of their sets of ``shingle`` words. Fingerprints are of
+    Candidates differ in at most ``radius`` of ``words * 64`` bits, or are small sets of which one has one
+    shingle more. They are confirmed by the Jaccard similarity of their sets of ``shingle`` words: first the
+    links of a spanning forest; where one of them fails, all candidates that confirmed links do not yet
+    connect. Fingerprints are of
     these sets, without repeats. Texts with equal sets (by a hash of 64 bits) are one text here, so all rows
     without a word, null ones too, are one group. An empty table stays empty.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
 
     def run(batch):
-        names, codes, ones, sizes = [], [], [], []
+        names, codes, ones, sizes, less = [], [], [], [], []
         for text in texts_of(batch):
             grams = np.unique(shingle_hashes(text, shingle))
             code = wide_fingerprint(grams, words)
@@ -281,43 +294,65 @@ def keep_one(
             names.append(set_name(grams))
             ones.append(int(np.bitwise_count(code).sum()))
             sizes.append(len(grams))
+            few = range(len(grams)) if 1 < len(grams) <= SMALL else ()
+            less.append([set_name(np.delete(grams, i)) for i in few])
         yield {
             "doc_id": batch.column("doc_id"), "tie": batch.column("tie"), "fp": names, "code": codes,
-            "ones": ones, "n_grams": sizes,
+            "ones": ones, "n_grams": sizes, "less": less,
         }
 
-    schema = "doc_id long, tie long, fp long, code binary, ones int, n_grams int"
+    schema = "doc_id long, tie long, fp long, code binary, ones int, n_grams int, less array<long>"
     prints = write_stage(map_batches(rows, ["doc_id", "tie", "text"], run, schema))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")
     distinct = write_stage(
         prints.groupBy("fp").agg(
             F.min("code").alias("code"), F.min("ones").alias("ones"), F.min("n_grams").alias("n_grams"),
-            F.min(order).alias("first"),
+            F.min("less").alias("less"), F.min(order).alias("first"),
         )
     )
     # Sets as similar as asked differ in size by one band at most.
     band = F.floor(F.log(F.greatest("n_grams", F.lit(1))) / F.log(F.lit(1 / similarity)) + 1e-9)
-    found = links(
-        distinct, [F.col("ones")], radius, 64 * words + 1, max(1, radius // 2), F.col("code"), F.least(band, F.lit(127))
-    )
-    found = write_stage(found)
-    asked = found.select(F.col("a").alias("fp")).union(found.select("b")).distinct()
-    asked = asked.join(distinct.select("fp", "first.doc_id", "first.tie"), "fp")
-    same_row = rows["doc_id"].eqNullSafe(asked["doc_id"]) & rows["tie"].eqNullSafe(asked["tie"])
-    release_shuffles(docs.sparkSession)
-    sets = write_stage(_shingle_sets(rows.join(asked, same_row).select("fp", "text"), shingle))
-    left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("grams_b"))
-    shared = F.size(F.array_intersect("grams_a", "grams_b"))
-    confirmed = found.join(left, "a").join(right, "b").where(
-        shared >= F.lit(similarity) * (F.size("grams_a") + F.size("grams_b") - shared)
-    )
-    roots = connected(confirmed.select("a", "b"))
+    def candidates(of: DataFrame, root: Column | None = None) -> DataFrame:
+        side, width = 64 * words + 1, max(1, radius // 2)
+        code, limited = F.col("code"), F.least(band, F.lit(127))
+        return links(of, [F.col("ones")], radius, side, width, code, limited, root=root)
+
+    def confirm(found: DataFrame) -> DataFrame:
+        asked = found.select(F.col("a").alias("fp")).union(found.select("b")).distinct()
+        asked = asked.join(distinct.select("fp", "first.doc_id", "first.tie"), "fp")
+        same_row = rows["doc_id"].eqNullSafe(asked["doc_id"]) & rows["tie"].eqNullSafe(asked["tie"])
+        release_shuffles(docs.sparkSession)
+        sets = write_stage(_shingle_sets(rows.join(asked, same_row).select("fp", "text"), shingle))
+        left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("grams_a"))
+        right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("grams_b"))
+        shared = F.size(F.array_intersect("grams_a", "grams_b"))
+        confirmed = found.join(left, "a").join(right, "b").where(
+            shared >= F.lit(similarity) * (F.size("grams_a") + F.size("grams_b") - shared)
+        )
+        return write_stage(confirmed.select("a", "b").distinct())
+
+    names = distinct.select(F.col("fp").alias("b"))
+    one_more = distinct.select(F.col("fp").alias("a"), F.explode("less").alias("b")).join(names, "b").select("a", "b")
+    found = write_stage(candidates(distinct).unionByName(one_more).distinct())
+    confirmed = confirm(found)
+    if confirmed.count() < found.count():
+        # A link that failed may have stood in for one that holds.
+        group = connected(found).select("node", F.col("root").alias("group"))
+        root = connected(confirmed)
+        labelled = group.join(root, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
+        labelled = write_stage(labelled)
+        several = labelled.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        open_groups = several.where("low < high").select("group")
+        again = labelled.join(open_groups, "group").join(distinct, labelled["node"] == distinct["fp"])
+        again = write_stage(again.select("fp", "code", "ones", "n_grams", "root"))
+        rest = write_stage(candidates(again, F.col("root")).join(found, ["a", "b"], "left_anti").distinct())
+        confirmed = confirmed.unionByName(confirm(rest))
+    roots = connected(confirmed)
     first = distinct.join(roots, distinct["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp")).agg(
         F.min("first").alias("first")
     )
     stays = write_stage(first.select("first.doc_id", "first.tie"))
-    del sets, left, right, confirmed, roots
+    del confirmed, roots
     release_shuffles(docs.sparkSession)
     whole = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("tie"))
     same_row = whole["doc_id"].eqNullSafe(stays["doc_id"]) & whole["tie"].eqNullSafe(stays["tie"])

@@ -66,6 +66,27 @@ def test_keep_one_compares_sets_without_repeats(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one(frame).collect()) == [1, 2]
 
 
+def test_keep_one_checks_links_that_others_stand_in_for(spark):
+    """Of three texts two are at Jaccard 0.81, both at 0.794 to the one between them."""
+    rows = []
+    for k in range(40):
+        first = [f"t{k}w{i}" for i in range(100)]
+        last, between = list(first), list(first)
+        for text, places in ((last, (20, 60)), (between, (20, 40, 99))):
+            for i in places:
+                text[i] = f"t{k}x{i}"
+        rows += [(3 * k + i, " ".join(t)) for i, t in enumerate((first, between, last))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.keep_one(frame).collect()) == [i for i in range(120) if i % 3 < 2]
+
+
+def test_keep_one_small_sets(spark):
+    """Eight words and the same with a ninth: four of five shingles."""
+    rows = [(2 * i + j, " ".join(f"w{i}x{k}" for k in range(8 + j))) for i in range(200) for j in range(2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.keep_one(frame).collect()} == set(range(0, 400, 2))
+
+
 def test_connected_long_path(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (None, 3), (200, 200)]
     found = {r["node"]: r["root"] for r in components.connected(spark.createDataFrame(links, "a long, b long")).collect()}
