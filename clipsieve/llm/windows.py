@@ -327,10 +327,13 @@ def _open_windows(docs: DataFrame, opened: DataFrame, rule: Rule) -> DataFrame:
     )
     texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), _tie_column().alias("tie"), "text")
 
-    def windows_of(batch):
+    def windows_of(batch, seen):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         keys = zip(batch.column("doc").to_pylist(), batch.column("tie").to_pylist(), batch.column("open"))
         for text, (doc, key, found) in zip(texts, keys):
+            if (doc, key) in seen:
+                continue  # a repeated row: its windows are those of the first
+            seen.add((doc, key))
             text = text or b""
             h = found.values.field("h").to_numpy()
             pos = found.values.field("pos").to_numpy()
@@ -344,12 +347,14 @@ def _open_windows(docs: DataFrame, opened: DataFrame, rule: Rule) -> DataFrame:
     def run(batches):
         settler = _Settler(rule, schema)
         held: list[tuple] = []
+        seen: set[tuple] = set()  # the documents held
 
         def settle():
             texts, at, h, wh, doc, pos = zip(*held)
             owner = np.repeat(np.arange(len(texts)), [len(x) for x in at])
             at, h, wh, doc, pos = (np.concatenate(x) for x in (at, h, wh, doc, pos))
             held.clear()
+            seen.clear()
             if rule.earlier is not None:
                 rank = np.empty(len(at), np.int64)
                 rank[np.lexsort((pos, doc))] = np.arange(len(at))
@@ -360,7 +365,7 @@ def _open_windows(docs: DataFrame, opened: DataFrame, rule: Rule) -> DataFrame:
             yield from settler.add(h, wh, doc, pos)
 
         for batch in batches:
-            for found in windows_of(batch):
+            for found in windows_of(batch, seen):
                 held.append(found)
                 if sum(len(x[1]) for x in held) >= WINDOWS:
                     yield from settle()

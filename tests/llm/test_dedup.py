@@ -163,6 +163,26 @@ def test_dedup_repeated_rows(repeated, empty, rows):
     assert suffix_dedup.remove_repeats(empty).collect() == [] and substring_dedup.remove_repeats(empty).collect() == []
 
 
+@pytest.mark.parametrize("copies", [2, 5])
+def test_suffix_dedup_copies_in_one_task(spark, copies):
+    """Repeated rows that meet in one task after a shuffle join count as one document."""
+    rng = np.random.default_rng(8)
+    letters = ["".join(map(chr, rng.integers(97, 123, 300))) for _ in range(5)]
+    known = [(1, letters[0] + letters[1] + letters[2]), (2, letters[3] + letters[1] + letters[4])]
+    frame = spark.createDataFrame(known * copies, "doc_id long, text string").coalesce(1)
+    options = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "1"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        found = suffix_dedup.remove_repeats(frame).select("row.doc_id", "n_bytes", "n_removed", "n_spans").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    expected = {d: x[:3] for d, x in brute.remove_bytes(known).items()}
+    assert len(found) == 2 * copies and all(tuple(r)[1:] == expected[r[0]] for r in found)
+
+
 def test_substring_dedup(docs, rows):
     expected = brute.remove_words(with_ids(rows))
     found = substring_dedup.remove_repeats(docs)
