@@ -80,7 +80,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     (the kept bytes as text; of a character that was cut the rest goes too).
 
     Earlier means a smaller ``doc_id`` (null first) or the same document and an earlier start. Rows that
-    share an id are ordered by a checksum of their text; rows that also share the text count as one document
+    share an id are ordered by a hash of their text (they differ by 80 bits of it); rows that also share the text count as one document
     and each return its result. Null text is empty. An empty table gives no row.
     """
     found = with_spans(docs, removed_spans(docs, rule(length)))

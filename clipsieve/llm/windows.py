@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,10 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 NULL_ID = -(1 << 63)
 
 CELL, SPAN, OPEN = 0, 1, 2
-_ROWS = "kind int, h long, c long, doc long, pos long, flag int"
+#: What documents are joined by.
+KEY = ["doc", "name", "tie"]
+#: A document is ``doc`` (its id), ``name`` (64 bits of its text's hash) and the tie in ``pos`` (16 more).
+_ROWS = "kind int, h long, c long, doc long, name long, pos long, flag int"
 _COLUMNS = [x.split()[0] for x in _ROWS.split(", ")]
 
 
@@ -120,49 +124,61 @@ class Rule:
 
 
 def tie(text: bytes) -> int:
-    """Sixteen bits of a text's checksum: tells apart rows that share an id."""
+    """Sixteen bits of a text's checksum: with its name, tells apart rows that share an id."""
     return zlib.crc32(text) & 0xFFFF
 
 
+def name(text: bytes) -> int:
+    """XXH64 of a text as a signed long, like Spark's xxhash64."""
+    return int(np.uint64(xxhash.xxh64_intdigest(text, 42)).view(np.int64))
+
+
 def _tie_column() -> Column:
     text = F.coalesce(F.col("text"), F.lit(""))
     return F.crc32(text.cast("binary")).bitwiseAND(0xFFFF).cast("int")
 
 
+def _key_columns() -> list[Column]:
+    """The columns of ``KEY`` from ``doc_id, text``."""
+    doc, named = F.coalesce("doc_id", F.lit(NULL_ID)), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    return [doc.alias("doc"), named.alias("name"), _tie_column().alias("tie")]
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def _spans(doc, pos, units) -> dict:
+def _spans(doc, name, pos, units) -> dict:
     """Overlapping or touching spans merged. ``pos`` is tie << 40 | start << 8 | number of windows."""
     key, start = pos >> 40, (pos >> 8) & 0xFFFFFFFF
     end = start + (pos & 0xFF) - 1 + units
-    order = np.lexsort((start, key, doc))
-    doc, key, start, end = doc[order], key[order], start[order], end[order]
+    order = np.lexsort((start, key, name, doc))
+    doc, name, key, start, end = doc[order], name[order], key[order], start[order], end[order]
     if not len(doc):
         return {}
     other = np.ones(len(doc), bool)
-    other[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+    other[1:] = (doc[1:] != doc[:-1]) | (name[1:] != name[:-1]) | (key[1:] != key[:-1])
     block = np.cumsum(other)
     reach = np.maximum.accumulate(block * (1 << 34) + end) - block * (1 << 34)
     fresh = other.copy()
     fresh[1:] |= start[1:] > reach[:-1]
     at = np.flatnonzero(fresh)
     until = reach[np.append(at[1:], len(doc)) - 1]
-    doc, pos = doc[at], key[at] << 40 | start[at] << 8
+    doc, name, pos = doc[at], name[at], key[at] << 40 | start[at] << 8
     n = len(at)
     return {
         "kind": np.full(n, SPAN, np.int32), "h": _signed(mix(doc.view(np.uint64))), "c": until, "doc": doc,
-        "pos": pos, "flag": np.zeros(n, np.int32),
+        "name": name, "pos": pos, "flag": np.zeros(n, np.int32),
     }
 
 
-def _settle(h, c, doc, pos, flag, rule: Rule):
+def _settle(h, c, doc, name, pos, flag, rule: Rule):
     """Sort rows and settle groups of equal (h, c): (positions settled as removed, positions that go on,
-    their flags). Rows that repeat id, checksum and place count once. Positions index the arrays given."""
-    order = np.lexsort((pos, doc, c, h))
+    their flags). Rows that repeat id, name, checksum and place count once. Positions index the arrays given."""
+    order = np.lexsort((pos, name, doc, c, h))
     same_key = (h[order][1:] == h[order][:-1]) & (c[order][1:] == c[order][:-1])
     same_row = same_key & (doc[order][1:] == doc[order][:-1]) & (pos[order][1:] == pos[order][:-1])
+    same_row &= name[order][1:] == name[order][:-1]
     keep = np.append(True, ~same_row)
     # A repeated row may carry the flag.
     flags = flag[order]
@@ -184,9 +200,9 @@ def _batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: pa.array(columns[k], schema.field(k).type) for k in _COLUMNS}, schema)
 
 
-def _going_on(kind, h, c, doc, pos, flag) -> dict:
+def _going_on(kind, h, c, doc, name, pos, flag) -> dict:
     n = len(h)
-    return {"kind": np.full(n, kind, np.int32), "h": h, "c": c, "doc": doc, "pos": pos, "flag": flag}
+    return {"kind": np.full(n, kind, np.int32), "h": h, "c": c, "doc": doc, "name": name, "pos": pos, "flag": flag}
 
 
 class _Settler:
@@ -195,27 +211,27 @@ class _Settler:
     def __init__(self, rule: Rule, schema: pa.Schema):
         self.rule, self.schema, self.rows, self.held = rule, schema, [], 0
 
-    def add(self, h, c, doc, pos) -> Iterator[pa.RecordBatch]:
-        self.rows.append((h, c, doc, pos))
+    def add(self, h, c, doc, pos, name=0) -> Iterator[pa.RecordBatch]:
+        self.rows.append((h, c, doc, np.broadcast_to(np.int64(name), len(h)), pos))
         self.held += len(h)
         if self.held >= ROWS:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.held:
-            h, c, doc, pos = (np.concatenate(x) for x in zip(*self.rows))
-            gone, on, flag = _settle(h, c, doc, pos, np.zeros(len(h), np.int32), self.rule)
-            if spans := _spans(doc[gone], pos[gone], self.rule.length):
+            h, c, doc, name, pos = (np.concatenate(x) for x in zip(*self.rows))
+            gone, on, flag = _settle(h, c, doc, name, pos, np.zeros(len(h), np.int32), self.rule)
+            if spans := _spans(doc[gone], name[gone], pos[gone], self.rule.length):
                 yield _batch(spans, self.schema)
-            yield _batch(_going_on(CELL, h[on], c[on], doc[on], pos[on], flag), self.schema)
+            yield _batch(_going_on(CELL, h[on], c[on], doc[on], name[on], pos[on], flag), self.schema)
         self.rows, self.held = [], 0
 
 
-def _documents(batch, unit: Callable[[bytes], np.ndarray]):
-    """(doc, tie, unit values) of the rows of a batch."""
+def _documents(batch, unit: Callable[[bytes], np.ndarray], key: Callable[[bytes], object] = tie):
+    """(doc, key, unit values) of the rows of a batch."""
     for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
         text = text or b""
-        yield NULL_ID if doc_id is None else doc_id, tie(text), unit(text)
+        yield NULL_ID if doc_id is None else doc_id, key(text), unit(text)
 
 
 def _buffers(documents, length: int):
@@ -243,15 +259,16 @@ def _cell_rows(docs: DataFrame, rule: Rule) -> DataFrame:
     def run(batches):
         settler = _Settler(rule, schema)
         for batch in batches:
-            for group in _buffers(_documents(batch, rule.units), rule.length):
+            named = _documents(batch, rule.units, lambda text: (tie(text), name(text)))
+            for group in _buffers(named, rule.length):
                 ends = np.cumsum([len(v) for *_, v in group])
                 first, count, h, c = cells(np.concatenate([v for *_, v in group]), ends, rule.length, rule.gram)
                 own = np.searchsorted(ends, first, side="right")
                 doc = np.array([d for d, *_ in group], np.int64)[own]
-                key = np.array([t for _, t, *_ in group], np.int64)[own]
+                key, names = np.array([t for _, t, *_ in group], np.int64)[own].T
                 shift = np.array([a for _, _, a, _ in group], np.int64) - (ends - [len(v) for *_, v in group])
                 pos = key << 40 | (first + shift[own]) << 8 | count
-                yield from settler.add(_signed(h), _signed(c), doc, pos)
+                yield from settler.add(_signed(h), _signed(c), doc, pos, names)
         yield from settler.flush()
 
     return docs.select("doc_id", "text").mapInArrow(run, _ROWS)
@@ -272,9 +289,9 @@ def _compare(
             block = {k: v[~spans] for k, v in block.items()}
         if not len(block["h"]):
             return
-        h, c, doc, pos = (block[k] for k in ("h", "c", "doc", "pos"))
-        gone, on, flag = _settle(h, c, doc, pos, block["flag"] & 1, rule)
-        if found := _spans(doc[gone], pos[gone], rule.length):
+        h, c, doc, name, pos = (block[k] for k in ("h", "c", "doc", "name", "pos"))
+        gone, on, flag = _settle(h, c, doc, name, pos, block["flag"] & 1, rule)
+        if found := _spans(doc[gone], name[gone], pos[gone], rule.length):
             yield _batch(found, schema), None
         order = np.argsort(h[on], kind="stable")
         on, flag = on[order], flag[order]
@@ -285,10 +302,11 @@ def _compare(
         several = np.repeat((size > 1) | np.logical_or.reduceat(told, at), size)
         if leave_open and (several & ~told).any():
             x = on[several & ~told]
-            yield _batch(_going_on(OPEN, h[x], c[x], doc[x], pos[x], np.zeros(len(x), np.int32)), schema), None
+            none = np.zeros(len(x), np.int32)
+            yield _batch(_going_on(OPEN, h[x], c[x], doc[x], name[x], pos[x], none), schema), None
         if not last:
             x = on[-1:]
-            kept = _going_on(CELL, h[x], c[x], doc[x], pos[x], flag[-1:] | np.int32(2) * several[-1:])
+            kept = _going_on(CELL, h[x], c[x], doc[x], name[x], pos[x], flag[-1:] | np.int32(2) * several[-1:])
             yield None, kept
 
     def run(batches):
@@ -315,25 +333,25 @@ def _compare(
                 yield from flush(False)
         yield from flush(True)
 
-    dealt = rows.repartition(*keys).sortWithinPartitions("h", "c", "doc", "pos")
+    dealt = rows.repartition(*keys).sortWithinPartitions("h", "c", "doc", "name", "pos")
     return dealt.mapInArrow(run, _ROWS)
 
 
 def _open_windows(docs: DataFrame, opened: DataFrame, rule: Rule) -> DataFrame:
     """The windows of the open cells, one row each, after every task has settled its own."""
     schema = to_arrow(_parsed(_ROWS))
-    lists = opened.groupBy("doc", F.shiftright("pos", 40).cast("int").alias("tie")).agg(
+    lists = opened.groupBy("doc", "name", F.shiftright("pos", 40).cast("int").alias("tie")).agg(
         F.collect_list(F.struct("h", "pos")).alias("open")  # the open cells of one document
     )
-    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), _tie_column().alias("tie"), "text")
+    texts = docs.select(*_key_columns(), "text")
 
     def windows_of(batch, seen):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
-        keys = zip(batch.column("doc").to_pylist(), batch.column("tie").to_pylist(), batch.column("open"))
-        for text, (doc, key, found) in zip(texts, keys):
-            if (doc, key) in seen:
+        keys = zip(*(batch.column(k).to_pylist() for k in ("doc", "name", "tie")))
+        for text, (doc, name, key), found in zip(texts, keys, batch.column("open")):
+            if (doc, name, key) in seen:
                 continue  # a repeated row: its windows are those of the first
-            seen.add((doc, key))
+            seen.add((doc, name, key))
             text = text or b""
             h = found.values.field("h").to_numpy()
             pos = found.values.field("pos").to_numpy()
@@ -342,7 +360,8 @@ def _open_windows(docs: DataFrame, opened: DataFrame, rule: Rule) -> DataFrame:
             at = at + np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
             wh = _signed(window_hashes(rule.units(text), at, rule.length))
             place = np.int64(key) << 40 | at << 8 | 1
-            yield text, at, np.repeat(h, count), wh, np.full(len(at), doc, np.int64), place
+            own = (np.full(len(at), x, np.int64) for x in (doc, name))
+            yield text, at, np.repeat(h, count), wh, *own, place
 
     def run(batches):
         settler = _Settler(rule, schema)
@@ -350,19 +369,19 @@ def _open_windows(docs: DataFrame, opened: DataFrame, rule: Rule) -> DataFrame:
         seen: set[tuple] = set()  # the documents held
 
         def settle():
-            texts, at, h, wh, doc, pos = zip(*held)
+            texts, at, h, wh, doc, name, pos = zip(*held)
             owner = np.repeat(np.arange(len(texts)), [len(x) for x in at])
-            at, h, wh, doc, pos = (np.concatenate(x) for x in (at, h, wh, doc, pos))
+            at, h, wh, doc, name, pos = (np.concatenate(x) for x in (at, h, wh, doc, name, pos))
             held.clear()
             seen.clear()
             if rule.earlier is not None:
                 rank = np.empty(len(at), np.int64)
-                rank[np.lexsort((pos, doc))] = np.arange(len(at))
+                rank[np.lexsort((pos, name, doc))] = np.arange(len(at))
                 gone = rule.earlier(texts, owner, at, rank)
-                if spans := _spans(doc[gone], pos[gone], rule.length):
+                if spans := _spans(doc[gone], name[gone], pos[gone], rule.length):
                     yield _batch(spans, schema)
-                h, wh, doc, pos = h[~gone], wh[~gone], doc[~gone], pos[~gone]
-            yield from settler.add(h, wh, doc, pos)
+                h, wh, doc, name, pos = (x[~gone] for x in (h, wh, doc, name, pos))
+            yield from settler.add(h, wh, doc, pos, name)
 
         for batch in batches:
             for found in windows_of(batch, seen):
@@ -373,7 +392,7 @@ def _open_windows(docs: DataFrame, opened: DataFrame, rule: Rule) -> DataFrame:
             yield from settle()
         yield from settler.flush()
 
-    return texts.join(lists, ["doc", "tie"]).mapInArrow(run, _ROWS)
+    return texts.join(lists, KEY).mapInArrow(run, _ROWS)
 
 
 def window_hashes(values: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -389,7 +408,7 @@ def window_hashes(values: np.ndarray, at: np.ndarray, length: int) -> np.ndarray
 
 
 def removed_spans(docs: DataFrame, rule: Rule, block_rows: int = ROWS) -> DataFrame:
-    """``doc, tie, spans``: for each document (null id: NULL_ID) with something to remove, its spans in units
+    """``doc, name, tie, spans``: for each document (null id: NULL_ID) with something to remove, its spans in units
     (start, end exclusive), which may overlap."""
     first = write_stage(_compare(_cell_rows(docs, rule), ["h"], rule, True, block_rows))
     # Each step moves about as much as the input; the files of one go before the next begins.
@@ -400,17 +419,15 @@ def removed_spans(docs: DataFrame, rule: Rule, block_rows: int = ROWS) -> DataFr
     release_shuffles(docs.sparkSession)
     spans = first.where(F.col("kind") == SPAN).unionByName(second)
     place = F.shiftright("pos", 8).bitwiseAND(0xFFFFFFFF)
-    return spans.groupBy("doc", F.shiftright("pos", 40).cast("int").alias("tie")).agg(
+    return spans.groupBy("doc", "name", F.shiftright("pos", 40).cast("int").alias("tie")).agg(
         F.collect_list(F.struct(place.alias("start"), F.col("c").alias("end"))).alias("spans")  # of one document
     )
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """All columns of ``docs`` in ``row``, and ``spans`` (null: none)."""
-    rows = docs.select(
-        F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), _tie_column().alias("tie"), F.struct("*").alias("row")
-    )
-    return rows.join(spans, ["doc", "tie"], "left").select("row", "spans")
+    rows = docs.select(*_key_columns(), F.struct("*").alias("row"))
+    return rows.join(spans, KEY, "left").select("row", "spans")
 
 
 def kept_mask(n: int, spans) -> tuple[np.ndarray, int]:

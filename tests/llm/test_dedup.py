@@ -183,6 +183,24 @@ def test_suffix_dedup_copies_in_one_task(spark, copies):
     assert len(found) == 2 * copies and all(tuple(r)[1:] == expected[r[0]] for r in found)
 
 
+def test_texts_without_id_that_share_a_checksum(spark):
+    """Null ids and ties that are equal: neither text gets the spans of the other."""
+    rng = np.random.default_rng(9)
+    words = lambda n: " ".join("".join(map(chr, rng.integers(97, 123, 6))) for _ in range(n))
+    shared, long = words(40), words(120)
+    ties = {}
+    while True:
+        short = words(50)
+        if (other := ties.setdefault(windows.tie(short.encode()), short)) != short:
+            break
+    rows = [(None, other), (None, short), (None, f"{shared} {long}"), (1, f"{other} {shared}")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring_dedup.remove_repeats(frame).select("row.text", "n_removed").collect()
+    assert {r[0]: r[1] for r in found} == {other: 50, short: 0, f"{shared} {long}": 40, f"{other} {shared}": 90}
+    found = suffix_dedup.remove_repeats(frame).select("row.text", "n_removed").collect()
+    assert {r[0]: r[1] for r in found if r[0] in (other, short)} == {other: 0, short: 0}
+
+
 def test_substring_dedup(docs, rows):
     expected = brute.remove_words(with_ids(rows))
     found = substring_dedup.remove_repeats(docs)
