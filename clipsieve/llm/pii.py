@@ -80,6 +80,27 @@ class Kind:
     base: bool = True
 
 
+#: Characters of the account numbers of each country.
+_IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _of_country(n: int, codes: str) -> str:
+    groups, rest = divmod(n - 4, 4)
+    end = f" [A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{n - 4}}}|(?: [A-Z0-9]{{4}}){{{groups}}}{end})"
+
+
+#: Numbers of their country's length; what does not fit is taken by groups to the last that may belong to it.
+_ACCOUNT = (
+    "|".join(_of_country(*x) for x in _IBAN.items())
+    + "|[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}+(?: [A-Z0-9]{1,3})?+)"
+)
+
 #: The base kinds in the order of the digest, then the added ones. A run of characters that a pattern may
 #: begin with is entered at its start only, or where the last match ended.
 KINDS = (
@@ -101,7 +122,7 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}+(?: [A-Z0-9]{1,3})?+)(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])(?:{_ACCOUNT})(?![A-Za-z0-9])",
         r"[A-Z]{2}[0-9]{2}[ A-Z0-9]", mod_97, 0.7, r"iban|account|konto|bank", False,
     ),
     Kind(

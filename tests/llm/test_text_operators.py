@@ -115,6 +115,15 @@ def test_pii_added_kinds_and_mask(spark):
     assert masked[3]["text"] == texts[3]
 
 
+@pytest.mark.parametrize("after", ["BIC", "2024", "50", "X1 DE89 3704 0044 0532 0130 00", ""])
+@pytest.mark.parametrize(
+    "number", ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "NO93 8601 1117 947"]
+)
+def test_pii_account_before_a_short_word(spark, number, after):
+    frame = spark.createDataFrame([(1, f"IBAN {number} {after}")], "doc_id long, text string")
+    assert pii.digest(frame).first()["spans"].split(",")[0] == f"iban:5:{5 + len(number)}"
+
+
 # packing
 
 
