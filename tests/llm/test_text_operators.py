@@ -282,3 +282,13 @@ def test_quality_bands():
         assert (quality.outside(ratio, len(data)) or outside > quality.BAD_CHUNKS * chunks) == bad
     many = [f"w{i}".encode() for i in range(70_000)] * 2
     assert quality.repeat_words(many) == len(many)
+
+
+@pytest.mark.parametrize("size", [128, 200, 260, 400, 1024, 4000, 20_000])
+def test_quality_finds_planted_noise(size):
+    rng = random.Random(size)
+    base_64 = b" ".join(base64.b64encode(rng.randbytes(6)) for _ in range(size // 9 + 1))[:size]
+    hexadecimal = b" ".join(rng.randbytes(4).hex().encode() for _ in range(size // 9 + 1))[:size]
+    repeated = (b"buy now cheap pills " * 1000)[:size]
+    found = [quality.outside(quality.compression(x, 1 << 20)[0], size) for x in (base_64, hexadecimal, repeated)]
+    assert found == [True, size >= 3072, True]
