@@ -165,6 +165,7 @@ def links(
     scale = [int(np.prod(sides[:i], dtype=np.int64)) for i in range(len(sides))]
     tile = sum((b * k for b, k in zip(bins, scale)), F.lit(0).cast("long"))
     extra = {k: v for k, v in (("code", code), ("root", root)) if v is not None}
+    coded, rooted = code is not None, root is not None
     held, named = ["fp", *extra], [F.col("fp"), *[v.alias(k) for k, v in extra.items()]]
     rows = distinct.select(*named, tile.alias("tile"), F.array(*bins).alias("bins"))
     # At most as many rows as tiles, which the sides bound.
@@ -194,8 +195,8 @@ def links(
         key, homes, forest = None, [], _Forest()
         for batch in batches:
             fp = batch.column("fp").to_numpy()
-            roots = fp if root is None else batch.column("root").to_numpy()
-            if code is None:
+            roots = batch.column("root").to_numpy() if rooted else fp
+            if not coded:
                 codes = fp.view(np.uint64).reshape(-1, 1)
             else:
                 codes = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint64).reshape(len(fp), -1)
@@ -213,7 +214,7 @@ def links(
                     homes.append((mine, own_codes, own_roots))  # so that the stretch is also compared with itself
                 for other, other_codes, other_roots in homes:
                     for i, j in _compare(own_codes, other_codes, radius):
-                        if root is not None:
+                        if rooted:
                             apart = own_roots[i] != other_roots[j]
                             if apart.any():
                                 found = {"a": mine[i[apart]], "b": other[j[apart]]}
