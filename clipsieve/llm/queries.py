@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsieve.llm import byte_bpe, language, neighbours, packing, pii, quality, simhash, substring_dedup, suffix_dedup, token_files
+from clipsieve.llm import byte_bpe, language, neighbours, packing, pii, quality, simhash, spelling, substring_dedup, suffix_dedup, token_files
 from clipsieve.session import prepare_session
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -76,6 +76,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -87,9 +91,10 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_spelling": op11_spelling,
 }
 
-# Only exact window comparisons can be put in SQL: the others rest on hashes, automata, vocabularies,
+# Exact window comparisons and spelling variants can be put in SQL: the others rest on hashes, automata, vocabularies,
 # compression, spans by look-behind or sums of doubles, and are tested against plain versions.
 SQL: dict[str, str] = {
     "op9_suffix_dedup": """
@@ -125,4 +130,37 @@ SQL: dict[str, str] = {
         SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
                sha256(coalesce(text, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)""",
+    "op11_spelling": r"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list_transform(range(0, 256), lambda i: list_reduce(
+                [i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs),
+        runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS r FROM documents),
+        low AS (SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS k
+                FROM runs WHERE length(r) >= 7 GROUP BY ALL),
+        octets AS (SELECT r, k, doc_id, hex(encode(doc_id::VARCHAR || ':' || r)) AS h FROM low),
+        hashed AS (SELECT r, k, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+                       list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+                       lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]))) AS crc, doc_id
+                   FROM octets, crc_table),
+        results AS (SELECT CASE WHEN doc_id IS NOT NULL AND crc % 31 = 0
+                    THEN left(r, crc % length(r)) || substr(r, crc % length(r) + 2) ELSE r END AS word, k FROM hashed),
+        words AS MATERIALIZED (SELECT word, sum(k)::BIGINT AS n FROM results WHERE length(word) >= 7 GROUP BY word
+                               HAVING sum(k) >= 2),
+        gone AS (SELECT word, n, left(word, i - 1) || '$' || substr(word, i + 1) AS prefix
+                 FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+        whole AS (SELECT word, n, left(word, i) || '$' || substr(word, i + 1) AS prefix
+                  FROM (SELECT *, unnest(range(0, length(word) + 1)) AS i FROM words)),
+        near AS (SELECT a.word, b.word AS other, b.n AS m FROM gone a JOIN gone b USING (prefix) WHERE a.word <> b.word
+                 UNION SELECT a.word, b.word, b.n FROM gone a JOIN whole b USING (prefix)
+                 UNION SELECT b.word, a.word, a.n FROM gone a JOIN whole b USING (prefix)),
+        best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m
+                 FROM near GROUP BY word),
+        formed AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+                   FROM words w LEFT JOIN best USING (word)),
+        walk AS (SELECT word, form AS place, 1 AS k FROM formed WHERE form IS NOT NULL
+                 UNION ALL SELECT walk.word, f.form, k + 1 FROM walk JOIN formed f ON f.word = place WHERE f.form IS NOT NULL),
+        roots AS (SELECT word, arg_max(place, k) AS root FROM walk GROUP BY word)
+        SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM formed LEFT JOIN roots USING (word)""",
 }
