@@ -10,10 +10,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsieve.llm import byte_bpe, language, neighbours, packing, pii, quality, simhash, spelling, substring_dedup, suffix_dedup, token_files
+from clipsieve.llm import alignment, byte_bpe, language, neighbours, packing, pii, quality, simhash, spelling, substring_dedup, suffix_dedup, token_files
 from clipsieve.session import prepare_session
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_PAIR_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -80,6 +82,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_PAIR_VOCABULARY, PIECE_VOCABULARY)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -92,6 +98,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_spelling": op11_spelling,
+    "op12_alignment": op12_alignment,
 }
 
 # Exact window comparisons and spelling variants can be put in SQL: the others rest on hashes, automata, vocabularies,

@@ -33,6 +33,10 @@ COLUMNS = {
     "op11_spelling": {
         "word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint",
     },
+    "op12_alignment": {
+        "doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint",
+        "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string",
+    },
 }
 
 
