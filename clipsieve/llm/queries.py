@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsieve.llm import alignment, byte_bpe, language, neighbours, packing, pii, quality, simhash, spelling, substring_dedup, suffix_dedup, token_files
+from clipsieve.llm import alignment, byte_bpe, classifier, language, neighbours, packing, pii, quality, simhash, spelling, substring_dedup, suffix_dedup, token_files
 from clipsieve.session import prepare_session
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -86,6 +86,13 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_PAIR_VOCABULARY, PIECE_VOCABULARY)
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = classifier.fit(docs.where(~held_out()), table(spark, sf_dir, "labels"))
+    found = classifier.score(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -99,6 +106,7 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_spelling": op11_spelling,
     "op12_alignment": op12_alignment,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 # Exact window comparisons and spelling variants can be put in SQL: the others rest on hashes, automata, vocabularies,

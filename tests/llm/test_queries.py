@@ -37,6 +37,7 @@ COLUMNS = {
         "doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint",
         "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string",
     },
+    "op13_quality_classifier": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
 }
 
 
