@@ -6,8 +6,9 @@ minimal perfect hash, every task adds up a dense vector of counts by hash index,
 tree, block by block. A second pass aligns the documents again and looks the counts up; the key held at an index
 is compared each time.
 
-Neither tokenizer joins a character that is not white space with a following space or line break, so a text is
-the units between these places; a worker aligns a unit once and remembers it.
+Texts are encoded once and the ids written. Neither tokenizer joins anything across certain places, so a text is
+the units between them; a worker encodes a unit once and remembers it. From the ids many documents are aligned at
+a time, as one long text: the ends of all tokens, sorted, are its links.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,32 +35,17 @@ SEGMENT_PAIRS, TABLE_PAIRS, BLOCK = 1 << 14, 1 << 22, 1 << 13
 FAN_IN = 32
 #: Units remembered by a worker (in each of two halves, of which the older goes), and different pairs held by one
 #: before it passes them on.
-REMEMBERED_UNITS, HELD_PAIRS = 150_000, 1 << 22
+REMEMBERED_UNITS, HELD_PAIRS = 250_000, 1 << 22
 _LONGEST_REMEMBERED = 64
-_CHARS_AT_ONCE, _DOCS_AT_ONCE = 1 << 21, 512
+#: Characters, or bytes of ids, and documents that are worked on at once (one document at least).
+_SIZE_AT_ONCE, _DOCS_AT_ONCE = 1 << 21, 512
 #: Before a space or line break after anything else, and between a Latin letter and ASCII marks or digits.
 _PLACES = re.compile(r"(?<=\S)(?=[ \n])|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-@\[-`{-~])")
 #: The same for texts of these characters alone, found faster: white space, marks, letters.
 _ODD = re.compile(r"[^\n -~À-ÖØ-öø-ÿ]")
 _UNITS = re.compile(r"[ \n]*(?:[!-@\[-`{-~]*[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-@\[-`{-~]+)|[ \n]+")
 _JOINED = re.compile(r"\n|[^▁]▁|[A-Za-zÀ-ÖØ-öø-ÿ][!-@\[-`{-~]")
-
-
-@dataclass(slots=True, eq=False)
-class Unit:
-    """The tokens of a piece of text, linked."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    pairs: np.ndarray  # a << 32 | b of every link
-    groups: str
-    table: str = ""  # the table that the next two are from
-    n_best: int = 0
-    count_sum: int = 0
-
-
-_WRONG = Unit(0, 0, 0, np.zeros(0, np.uint64), "")
+_NONE = np.zeros(0, np.uint64)
 
 
 def _letter_bytes() -> dict[str, int]:
@@ -70,8 +55,8 @@ def _letter_bytes() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Aligner:
-    """The two vocabularies and what was aligned with them."""
+class Encoder:
+    """The two vocabularies, and the ids of units met before."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -81,149 +66,183 @@ class Aligner:
         self._a = Tokenizer.from_file(path_a)
         self._a.encode_special_tokens = True  # their strings in a text are ordinary text
         self._b = SentencePieceProcessor(model_file=path_b)
-        letters = _letter_bytes()
-        self.bytes_a: dict[int, bytes] = {}
-        for token, i in self._a.get_vocab(with_added_tokens=False).items():
-            self.bytes_a[i] = bytes(letters[c] for c in token)
+        letters, vocabulary = _letter_bytes(), self._a.get_vocab(with_added_tokens=False)
+        self._bytes_a = [b""] * (1 + max(vocabulary.values()))
+        for token, i in vocabulary.items():
+            self._bytes_a[i] = bytes(letters[c] for c in token)
         pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
-        self.bytes_b = [
+        self._bytes_b = [
             bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        #: Bytes of each token, and the widths of ids as they are written.
+        self.lengths = [np.array([len(x) for x in table]) for table in (self._bytes_a, self._bytes_b)]
+        self.kinds = [np.dtype("<u2" if len(table) <= 1 << 16 else "<u4") for table in (self._bytes_a, self._bytes_b)]
+        # A space on its own, and what comes before a text that begins with a line break.
         self._space = self._b.piece_to_id("▁")
         self._lead = self._b.encode("\n", num_threads=1)
         special = {i for i in range(len(pieces)) if self._b.is_control(i) or self._b.is_unknown(i) or self._b.is_byte(i)}
         #: Whether B joins nothing across the places where texts are cut. The pattern of A never does.
         self.cuts = not any(_JOINED.search(p) for i, p in enumerate(pieces) if i not in special)
-        self._known: dict[str, Unit] = {}
-        self._older: dict[str, Unit] = {}
+        self._known: dict[str, tuple[bytes, bytes] | None] = {}
+        self._older: dict[str, tuple[bytes, bytes] | None] = {}
 
-    def _align(self, unit: str, a: list[int], b: list[int]) -> Unit:
-        """Links and groups of the tokens of a unit; tokens that do not spell it give the wrong unit."""
+    def _ids(self, unit: str, a: list[int], b: list[int]) -> tuple[bytes, bytes] | None:
+        """The packed ids of a unit; none where they do not spell it."""
         if unit[0] != " ":  # before it stand the space that the library adds and a line break, which joins nothing
             if b[:2] != self._lead:
-                return _WRONG
+                return None
             b = b[2:]
         elif len(unit) == 1:
             b = [self._space]
-        data, of_b = unit.encode(), self.bytes_b
-        try:
-            parts_a = [self.bytes_a[i] for i in a]
-        except KeyError:
-            return _WRONG
-        parts_b = [of_b[i] for i in b]
-        if b"".join(parts_a) != data or b"".join(parts_b) != data:
-            return _WRONG
-        pairs, groups, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-        end_a, end_b = len(parts_a[0]), len(parts_b[0])
-        while True:
-            pairs.append(a[i] << 32 | b[j])
-            if end_a == end_b:
-                if from_i == i and from_j == j:
-                    groups.append(f"{a[i]}|{b[j]}")
-                else:
-                    groups.append(f"{','.join(map(str, a[from_i : i + 1]))}|{','.join(map(str, b[from_j : j + 1]))}")
-                i, j = i + 1, j + 1
-                from_i, from_j = i, j
-                if i == len(a):
-                    break
-                end_a, end_b = end_a + len(parts_a[i]), end_b + len(parts_b[j])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(parts_a[i])
-            else:
-                j += 1
-                end_b += len(parts_b[j])
-        return Unit(len(a), len(b), len(groups), np.array(pairs, np.uint64), ";".join(groups))
+        data = unit.encode()
+        if max(a) >= len(self._bytes_a) or b"".join([self._bytes_a[i] for i in a]) != data:
+            return None
+        if b"".join([self._bytes_b[i] for i in b]) != data:
+            return None
+        return np.array(a, self.kinds[0]).tobytes(), np.array(b, self.kinds[1]).tobytes()
+
+    def _learn(self, names: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """Units met for the first time, all encoded in one call of each library."""
+        a = self._a.encode_batch(names, add_special_tokens=False)
+        b = self._b.encode([n[1:] if n[0] == " " else "\n" + n for n in names], num_threads=1)
+        return {n: self._ids(n, x.ids, y) for n, x, y in zip(names, a, b)}
 
     def _cut(self, whole: str) -> list[str]:
         if not self.cuts:
             return [whole]
         return _PLACES.split(whole) if _ODD.search(whole) else _UNITS.findall(whole)
 
-    def _learn(self, names: list[str]) -> dict[str, Unit]:
-        """Units met for the first time, all encoded in one call of each library."""
-        a = self._a.encode_batch(names, add_special_tokens=False)
-        b = self._b.encode([n[1:] if n[0] == " " else "\n" + n for n in names], num_threads=1)
-        return {n: self._align(n, x.ids, y) for n, x, y in zip(names, a, b)}
-
-    def documents(self, texts: list[str | None]) -> list[list[Unit]]:
-        """The units of each text; none for a null or empty one and where the tokens do not spell it."""
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """The packed ids of each text by A and B; none for a null or empty one and where they do not spell it."""
         names = [self._cut(" " + t) if t else [] for t in texts]
         known, older = self._known, self._older
         met = {n for of_text in names for n in of_text if n not in known}
         again = {n: older[n] for n in met if n in older}
         new = again | self._learn([n for n in met if n not in again])
         known.update((n, u) for n, u in new.items() if len(n) <= _LONGEST_REMEMBERED)
-        out = [[known[n] if n in known else new[n] for n in of_text] for of_text in names]
+        out = []
+        for of_text in names:
+            units = [known[n] if n in known else new[n] for n in of_text]
+            if None in units:
+                units = []
+            out.append((b"".join([u[0] for u in units]), b"".join([u[1] for u in units])))
         if len(known) > REMEMBERED_UNITS:
             self._known, self._older = {}, known
-        return [[] if _WRONG in units else units for units in out]
+        return out
+
 
+_encoders: dict[tuple[str, str], Encoder] = {}
 
-def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch, as many at a time as have few characters together."""
-    sizes = [0 if n is None else n for n in pc.utf8_length(batch.column("text")).to_pylist()]
+
+def encoder(path_a: str, path_b: str) -> Encoder:
+    """The worker's encoder of two vocabulary files, made on first use."""
+    if (path_a, path_b) not in _encoders:
+        _encoders[path_a, path_b] = Encoder(path_a, path_b)
+    return _encoders[path_a, path_b]
+
+
+def _portions(batch: pa.RecordBatch, sizes: list[int | None]) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch, as many at a time as are small together."""
     begin, n = 0, 0
     for at, size in enumerate(sizes):
-        if at > begin and (n + size > _CHARS_AT_ONCE or at - begin == _DOCS_AT_ONCE):
+        if at > begin and (n + (size or 0) > _SIZE_AT_ONCE or at - begin == _DOCS_AT_ONCE):
             yield batch.slice(begin, at - begin)
             begin, n = at, 0
-        n += size
+        n += size or 0
     if begin < len(sizes):
         yield batch.slice(begin)
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
-
-
-def aligner(path_a: str, path_b: str) -> Aligner:
-    """The worker's aligner of two vocabulary files, made on first use."""
-    if (path_a, path_b) not in _aligners:
-        _aligners[path_a, path_b] = Aligner(path_a, path_b)
-    return _aligners[path_a, path_b]
-
-
-def _distinct(units: list[Unit]) -> np.ndarray:
-    pairs = np.sort(np.concatenate([np.zeros(0, np.uint64), *[u.pairs for u in set(units)]]))
-    return pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])] if len(pairs) else pairs
-
-
-def document_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """``pairs`` (array of longs, the id of A times 2**32 plus that of B): the different linked pairs of each row."""
-    kind = pa.schema([("pairs", pa.list_(pa.int64()))])
+def encoded(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """``doc_id, a, b``: the ids of each row by both vocabularies, two bytes each (four for large vocabularies)."""
+    kind = pa.schema([("doc_id", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches):
-        align = aligner(path_a, path_b)
+        encode = encoder(path_a, path_b).encode
         for batch in batches:
-            for part in _portions(batch):
-                found = [_distinct(units) for units in align.documents(part.column("text").to_pylist())]
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                values = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, values, type=kind[0].type)], schema=kind)
+            for part in _portions(batch, pc.utf8_length(batch.column("text")).to_pylist()):
+                ids = encode(part.column("text").to_pylist())
+                a, b = (pa.array([x[k] for x in ids], pa.binary()) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), a, b], schema=kind)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, a binary, b binary")
+
+
+class Links:
+    """The links of some documents, which stand one after the other like one text."""
+
+    def __init__(self, given: Encoder, part: pa.RecordBatch):
+        self.ids, ends, counts = [], [], []
+        for column, kind, lengths in zip("ab", given.kinds, given.lengths):
+            packed = part.column(column).to_pylist()
+            ids = np.frombuffer(b"".join(packed), kind).astype(np.int64)
+            self.ids.append(ids)
+            ends.append(np.cumsum(lengths[ids]))
+            counts.append(np.array([len(x) // kind.itemsize for x in packed], np.int64))
+        self.n_a, self.n_b = counts
+        self.ends = ends
+        before = np.concatenate([[0], ends[0]])
+        document_ends = before[np.cumsum(self.n_a)]
+        every = np.sort(np.concatenate(ends), kind="stable")
+        every = every[np.concatenate([[True], every[1:] != every[:-1]])] if len(every) else every
+        at_a, at_b = (np.searchsorted(e, every) for e in ends)
+        #: Of each link, the pair and the number of the document.
+        self.pairs = self.ids[0][at_a].astype(np.uint64) << np.uint64(32) | self.ids[1][at_b].astype(np.uint64)
+        self.document = np.searchsorted(document_ends, every)
+        self.common = every[(ends[0][at_a] == every) & (ends[1][at_b] == every)]
+        self.n_links = np.bincount(self.document, minlength=len(packed))
+        self.n_groups = np.bincount(np.searchsorted(document_ends, self.common), minlength=len(packed))
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """The sum of the values of each document's links."""
+        total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+        return np.diff(total[np.concatenate([[0], np.cumsum(self.n_links)])])
+
+    def spelled(self, table: list[bytes]) -> list[bytes]:
+        """The groups of each document as text; the table has each id before a comma, a bar and a semicolon."""
+        if not len(self.common):
+            return [b""] * len(self.n_a)
+        group = [np.searchsorted(self.common, e) for e in self.ends]
+        sizes = [np.bincount(g, minlength=len(self.common)) for g in group]
+        first = np.concatenate([[0], np.cumsum(sizes[0] + sizes[1])])[:-1]
+        width = len(table) // 3
+        codes = np.empty(len(group[0]) + len(group[1]), np.int64)
+        for side, (g, n, ids) in enumerate(zip(group, sizes, self.ids)):
+            inside = np.arange(len(g)) - (np.cumsum(n) - n)[g]
+            last = inside == n[g] - 1
+            codes[first[g] + inside + (sizes[0][g] if side else 0)] = ids + np.where(last, width * (1 + side), 0)
+        out, at, codes = [], 0, codes.tolist()
+        for n in (self.n_a + self.n_b).tolist():
+            out.append(b"".join([table[c] for c in codes[at : at + n]])[:-1])
+            at += n
+        return out
+
 
-    return docs.select("text").mapInArrow(run, "pairs array<long>")
+def _linked(batches, path_a: str, path_b: str) -> Iterator[tuple[pa.RecordBatch, Links]]:
+    given = encoder(path_a, path_b)
+    for batch in batches:
+        for part in _portions(batch, pc.binary_length(batch.column("a")).to_pylist()):
+            yield part, Links(given, part)
 
 
-def _different_pairs(of_documents: DataFrame) -> DataFrame:
+def _different_pairs(ids: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``pair``: every pair once; tasks drop what they repeat themselves before the shuffle."""
     kind = pa.schema([("pair", pa.int64())])
 
     def run(batches):
-        held, n = [], 0
-        for batch in batches:
-            values = batch.column("pairs").flatten().to_numpy()
-            held.append(np.unique(values))
+        held, n = [_NONE], 0
+        for _, links in _linked(batches, path_a, path_b):
+            held.append(np.unique(links.pairs))
             n += len(held[-1])
             if n > HELD_PAIRS:
                 held = [np.unique(np.concatenate(held))]
                 n = len(held[0])
                 if n > HELD_PAIRS // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(held[0])], schema=kind)
-                    held, n = [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], schema=kind)
+                    yield pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64))], schema=kind)
+                    held, n = [_NONE], 0
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)).view(np.int64))], schema=kind)
 
-    return of_documents.mapInArrow(run, "pair long").distinct()
+    return ids.select("a", "b").mapInArrow(run, "pair long").distinct()
 
 
 def _segment_of(pairs: np.ndarray, segments: int) -> np.ndarray:
@@ -321,37 +340,37 @@ def _sum_vectors(vectors: DataFrame) -> DataFrame:
     return level(level(vectors, F.floor(F.col("task") / FAN_IN).cast("long")), F.lit(0).cast("long"))
 
 
-def _count(of_documents: DataFrame, table: Table) -> np.ndarray:
-    """In how many rows of ``pairs`` each pair of the table is, by its index."""
-    shared = of_documents.sparkSession.sparkContext.broadcast(table)
+def _count(ids: DataFrame, path_a: str, path_b: str, table: Table) -> np.ndarray:
+    """In how many documents each pair of the table is linked, by its index."""
+    shared = ids.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
         from pyspark import TaskContext
 
         table, task = shared.value, TaskContext.get().partitionId()
         dense = np.zeros(-(-table.hash.n // BLOCK) * BLOCK, np.int64)
-        for batch in batches:
-            index = table.index(batch.column("pairs").flatten().to_numpy().view(np.uint64))
-            np.add.at(dense, index[index >= 0], 1)
+        for _, links in _linked(batches, path_a, path_b):
+            index = table.index(links.pairs)
+            once = np.unique(links.document[index >= 0] * table.hash.n + index[index >= 0])
+            np.add.at(dense, once % max(1, table.hash.n), 1)
         blocks = dense.reshape(-1, BLOCK)
         for at in np.flatnonzero(blocks.any(axis=1)).tolist():
             yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((at, task, blocks[at].tobytes()), _VECTOR)], schema=_VECTOR)
 
     total = np.zeros(-(-table.hash.n // BLOCK) * BLOCK, np.int64)
-    for row in _sum_vectors(of_documents.mapInArrow(run, _VECTOR_DDL)).toLocalIterator():
+    for row in _sum_vectors(ids.select("a", "b").mapInArrow(run, _VECTOR_DDL)).toLocalIterator():
         total[row["block"] * BLOCK :][:BLOCK] = np.frombuffer(row["counts"], np.int64)
     shared.unpersist()
     return total[: table.hash.n]
 
 
-def counted_tables(docs: DataFrame, path_a: str, path_b: str, segment_pairs: int = SEGMENT_PAIRS, table_pairs: int = TABLE_PAIRS) -> Iterator[Table]:
-    """The counts of all pairs of the documents, in tables of at most ``table_pairs`` pairs."""
-    of_documents = write_stage(document_pairs(docs, path_a, path_b))
-    pairs = write_stage(_different_pairs(of_documents))
+def counted_tables(ids: DataFrame, path_a: str, path_b: str, segment_pairs: int = SEGMENT_PAIRS, table_pairs: int = TABLE_PAIRS) -> Iterator[Table]:
+    """The counts of all pairs of the documents of ``a, b``, in tables of at most ``table_pairs`` pairs."""
+    pairs = write_stage(_different_pairs(ids, path_a, path_b))
     segments = max(1, -(-pairs.count() // segment_pairs))
     hashes = write_stage(_hash_segments(pairs, segments))
     for table in _tables(hashes, segments, table_pairs):
-        table.counts = _count(of_documents, table)
+        table.counts = _count(ids, path_a, path_b, table)
         a = (table.hash.keys >> np.uint64(32)).astype(np.int64)
         greatest = np.zeros(int(a.max(initial=0)) + 1, np.int64)
         np.maximum.at(greatest, a, table.counts)
@@ -360,10 +379,11 @@ def counted_tables(docs: DataFrame, path_a: str, path_b: str, segment_pairs: int
 
 
 def pair_counts(docs: DataFrame, path_a: str, path_b: str, **bounds) -> DataFrame:
-    """``a_id, b_id, n_docs``: in how many rows of ``text`` a token of A overlaps one of B, for all pairs that do."""
+    """``a_id, b_id, n_docs``: in how many rows of ``doc_id, text`` a token of A overlaps one of B, for all pairs
+    that do."""
     spark, out = docs.sparkSession, None
     kind = pa.schema([("a_id", pa.int64()), ("b_id", pa.int64()), ("n_docs", pa.int64())])
-    for table in counted_tables(docs, path_a, path_b, **bounds):
+    for table in counted_tables(write_stage(encoded(docs, path_a, path_b)), path_a, path_b, **bounds):
         keys = table.hash.keys
         columns = [(keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), table.counts]
         part = write_stage(spark.createDataFrame(pa.Table.from_arrays([pa.array(c) for c in columns], schema=kind)))
@@ -379,60 +399,39 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, segment_pairs: int = SEGM
     that the tokens do not spell (piece models may change characters), have no tokens: zeros and ''. Repeated
     rows count each time; null ids are kept. An empty table gives no row.
 
-    Documents are read once for the pairs and once for every table of counts; tables beyond the first are
-    needed only where there are more pairs than ``table_pairs``.
+    Texts are read once, their ids once for the pairs and twice for every table of counts; tables beyond the
+    first are needed only where there are more pairs than ``table_pairs``.
     """
-    spark = docs.sparkSession
+    spark, ids = docs.sparkSession, write_stage(encoded(docs, path_a, path_b))
     counters = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     zeros = [F.lit(0).cast("long").alias(c) for c in counters]
-    out = docs.select("doc_id", "text", *zeros, F.lit("").alias("groups_sha256"))
+    out = ids.select("doc_id", "a", "b", *zeros, F.lit("").alias("groups_sha256"))
     schema = out.schema
-    for number, table in enumerate(counted_tables(docs, path_a, path_b, segment_pairs, table_pairs)):
+    for number, table in enumerate(counted_tables(ids, path_a, path_b, segment_pairs, table_pairs)):
         out = out.mapInArrow(_look_up(spark.sparkContext.broadcast(table), path_a, path_b, number == 0), schema)
     return out.select("doc_id", *counters, "groups_sha256")
 
 
 def _look_up(shared, path_a: str, path_b: str, first: bool):
     """A pass that adds what one table knows; the first one also describes the alignment."""
-    name = uuid.uuid4().hex
-
-    def weigh(units: list[Unit], table: Table) -> None:
-        """Counts of units met for the first time, in one look at the table."""
-        pairs = np.concatenate([np.zeros(0, np.uint64), *[u.pairs for u in units]])
-        index = table.index(pairs)
-        known = index >= 0
-        counts, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-        counts[known], best[known] = table.counts[index[known]], table.best[index[known]]
-        ends = np.cumsum([0, *[len(u.pairs) for u in units]])
-        sums = [np.diff(np.concatenate([[0], np.cumsum(x)])[ends]).tolist() for x in (counts, best)]
-        for unit, count, n in zip(units, *sums):
-            unit.table, unit.count_sum, unit.n_best = name, count, n
 
     def run(batches):
-        table, align = shared.value, aligner(path_a, path_b)
-        for batch in batches:
-            for part in _portions(batch):
-                columns = {c: part.column(c) for c in part.schema.names}
-                documents = align.documents(columns["text"].to_pylist())
-                new = {u for units in documents for u in units if u.table != name}
-                if new:
-                    weigh(list(new), table)
-                for c, values in (
-                    ("n_best", [sum([u.n_best for u in units]) for units in documents]),
-                    ("count_sum", [sum([u.count_sum for u in units]) for units in documents]),
-                ):
-                    columns[c] = pa.array(np.array(values, np.int64) + columns[c].to_numpy())
-                if first:
-                    for c, values in (
-                        ("n_a", [sum([u.n_a for u in units]) for units in documents]),
-                        ("n_b", [sum([u.n_b for u in units]) for units in documents]),
-                        ("n_groups", [sum([u.n_groups for u in units]) for units in documents]),
-                        ("n_links", [sum([len(u.pairs) for u in units]) for units in documents]),
-                    ):
-                        columns[c] = pa.array(values, pa.int64())
-                    spelled = [";".join([u.groups for u in units]) for units in documents]
-                    digests = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in spelled]
-                    columns["groups_sha256"] = pa.array(digests, pa.string())
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        table, spelling = shared.value, []
+        if first:
+            n = max(map(len, encoder(path_a, path_b).lengths))
+            spelling = [b"%d%s" % (i, mark) for mark in (b",", b"|", b";") for i in range(n)]
+        for part, links in _linked(batches, path_a, path_b):
+            columns = {c: part.column(c) for c in part.schema.names}
+            index = table.index(links.pairs)
+            known = index >= 0
+            for c, of_index in (("n_best", table.best), ("count_sum", table.counts)):
+                values = np.zeros(len(index), np.int64)
+                values[known] = of_index[index[known]]
+                columns[c] = pa.array(links.sums(values) + columns[c].to_numpy())
+            if first:
+                columns |= {c: pa.array(getattr(links, c).astype(np.int64)) for c in ("n_a", "n_b", "n_groups", "n_links")}
+                digests = [hashlib.sha256(s).hexdigest() if s else "" for s in links.spelled(spelling)]
+                columns["groups_sha256"] = pa.array(digests, pa.string())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run

@@ -91,12 +91,13 @@ def odd_texts(n=1500):
 
 
 def test_units_are_the_whole_text(libraries):
-    align = alignment.aligner(PATH_A, PATH_B)
-    assert align.cuts
+    given = alignment.encoder(PATH_A, PATH_B)
+    assert given.cuts
     texts = odd_texts() + [None, "", " ", "\n"]
-    for text, units in zip(texts, align.documents(texts)):
+    for text, (a, b) in zip(texts, given.encode(texts)):
         found = plain(libraries, text)
-        assert ";".join(u.groups for u in units) == (";".join(links_and_groups(found)[1]) if found else ""), repr(text)
+        ids = [np.frombuffer(x, kind).tolist() for x, kind in zip((a, b), given.kinds)]
+        assert ids == ([found[0][0], found[1][0]] if found else [[], []]), repr(text)
 
 
 def check(libraries, frame, pairs, **bounds):
