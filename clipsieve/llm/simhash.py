@@ -30,6 +30,8 @@ PARTS, BLOCK_ROWS = 4, 1 << 14
 WIDE, WIDE_RADIUS, SIMILARITY = 4, 76, 0.8
 #: Sets of at most so many shingles are also candidates with every set that they have one shingle more than.
 SMALL = 8
+#: Sets, and shingles in them, that a block has about where the sets of a group are compared.
+SET_BLOCK_ROWS, SET_BLOCK_GRAMS = 2048, 1 << 20
 _CELLS = 1 << 21  # exclusive-ors at once
 _AT_ONCE = 1 << 15  # hashes whose bits are counted at once
 
@@ -150,11 +152,9 @@ def links(
     code: Column | None = None,
     band: Column | None = None,
     block_rows: int = BLOCK_ROWS,
-    root: Column | None = None,
 ) -> DataFrame:
     """``a, b``: links that connect all ``fp`` of ``distinct`` (all different) which links of at most
-    ``radius`` bits connect. Within a pair of blocks only a spanning forest of its links is returned. With
-    ``root``, a long, all links between different roots are returned and none inside one.
+    ``radius`` bits connect. Within a pair of blocks only a spanning forest of its links is returned.
 
     ``counts`` are the population counts of parts, each below ``side``; ``width`` counts share a tile.
     ``code`` is the whole fingerprint where ``fp`` is only its name. With ``band``, a number from 0 to 127,
@@ -164,9 +164,8 @@ def links(
     sides = [-(-side // width)] * len(counts) + ([128] if band is not None else [])
     scale = [int(np.prod(sides[:i], dtype=np.int64)) for i in range(len(sides))]
     tile = sum((b * k for b, k in zip(bins, scale)), F.lit(0).cast("long"))
-    extra = {k: v for k, v in (("code", code), ("root", root)) if v is not None}
-    coded, rooted = code is not None, root is not None
-    held, named = ["fp", *extra], [F.col("fp"), *[v.alias(k) for k, v in extra.items()]]
+    coded = code is not None
+    held, named = ["fp", *["code"] * coded], [F.col("fp"), *([code.alias("code")] if coded else [])]
     rows = distinct.select(*named, tile.alias("tile"), F.array(*bins).alias("bins"))
     # At most as many rows as tiles, which the sides bound.
     blocks = rows.groupBy("tile").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
@@ -195,7 +194,6 @@ def links(
         key, homes, forest = None, [], _Forest()
         for batch in batches:
             fp = batch.column("fp").to_numpy()
-            roots = batch.column("root").to_numpy() if rooted else fp
             if not coded:
                 codes = fp.view(np.uint64).reshape(-1, 1)
             else:
@@ -209,17 +207,11 @@ def links(
                     continue
                 if key != (place[0, begin], place[1, begin]):
                     key, homes, forest = (place[0, begin], place[1, begin]), [], _Forest()
-                mine, own_codes, own_roots = fp[begin:end], codes[begin:end], roots[begin:end]
+                mine, own_codes = fp[begin:end], codes[begin:end]
                 if not place[2, begin]:
-                    homes.append((mine, own_codes, own_roots))  # so that the stretch is also compared with itself
-                for other, other_codes, other_roots in homes:
+                    homes.append((mine, own_codes))  # so that the stretch is also compared with itself
+                for other, other_codes in homes:
                     for i, j in _compare(own_codes, other_codes, radius):
-                        if rooted:
-                            apart = own_roots[i] != other_roots[j]
-                            if apart.any():
-                                found = {"a": mine[i[apart]], "b": other[j[apart]]}
-                                yield pa.RecordBatch.from_pydict(found, schema=arrow)
-                            continue
                         pairs = zip(mine[i].tolist(), other[j].tolist())
                         out += [p for p in pairs if p[0] != p[1] and forest.joins(*p)]
             if out:
@@ -267,6 +259,119 @@ def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return map_batches(docs, ["fp", "text"], run, "fp long, grams array<long>")
 
 
+class _SetBlock:
+    """Shingle sets with their fingerprints and the components that they are known to be in."""
+
+    def __init__(self, rows: list[tuple]):
+        names, roots, codes, grams = zip(*rows)
+        self.names, self.roots = np.array(names), np.array(roots)
+        self.codes = np.frombuffer(b"".join(codes), np.uint64).reshape(len(rows), -1)
+        self.grams = grams
+        self.sizes = np.array([len(g) for g in grams])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.different, self.at = np.unique(np.concatenate(grams), return_inverse=True)
+
+    def similar(self, code: np.ndarray, grams: np.ndarray, roots: np.ndarray, root: int, upto: int, similarity: float, radius: int):
+        """Places, before ``upto``, of sets in other components that are candidates and as similar as asked."""
+        size, sizes = len(grams), self.sizes[:upto]
+        fits = (roots[:upto] != root) & (np.minimum(sizes, size) >= similarity * np.maximum(sizes, size))
+        if not fits.any():
+            return ()
+        near = np.bitwise_count(self.codes[:upto] ^ code).sum(axis=1) <= radius
+        fits &= near | (np.minimum(sizes, size) <= SMALL)
+        if not fits.any():
+            return ()
+        place = np.minimum(np.searchsorted(self.different, grams), len(self.different) - 1)
+        marked = np.zeros(len(self.different), np.int32)
+        marked[place[self.different[place] == grams]] = 1
+        chosen = np.flatnonzero(fits)
+        if 4 * len(chosen) < upto:
+            shared = np.array([marked[self.at[b : b + n]].sum() for b, n in zip(self.starts[chosen], self.sizes[chosen])])
+        else:
+            end = self.starts[upto - 1] + self.sizes[upto - 1]
+            shared = np.add.reduceat(marked[self.at[:end]], self.starts[:upto])[chosen]
+        return chosen[shared >= similarity * (self.sizes[chosen] + size - shared)]
+
+
+def _links_in_groups(rows: DataFrame, sets: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """``a, b``: links that hold between different roots of a group, a forest of each pair of blocks.
+
+    Takes ``fp, group, root, code, n_grams`` and ``fp, grams`` (sorted, none empty). A group of any size is cut in
+    blocks, bounded in rows and shingles, and each pair of blocks is a task's key of its own. Pairs that do not
+    hold, or whose ends are already joined, are never rows, so that a pair of blocks returns fewer rows than
+    it takes in."""
+    size = F.greatest(F.count("*") / SET_BLOCK_ROWS, F.sum("n_grams") / SET_BLOCK_GRAMS)
+    blocks = rows.groupBy("group").agg(F.ceil(size).cast("int").alias("blocks"))
+    placed = rows.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(
+            F.least(k, F.col("block")).alias("low"), F.greatest(k, F.col("block")).alias("high"), (F.col("block") > k).alias("guest")
+        ),
+    )
+    held = ["group", "low", "high", "guest", "fp", "root", "code", "grams"]
+    dealt = placed.join(sets, "fp").select("group", "fp", "root", "code", "grams", F.inline(pairs)).select(held)
+    dealt = dealt.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high", "guest", "fp")
+    schema = "a long, b long"
+    arrow = to_arrow_schema(schema)
+
+    def of_batch(batch):
+        columns = [batch.column(c).to_pylist() for c in held[:-1]]
+        grams = batch.column("grams")
+        values, ends = grams.values.to_numpy(), grams.offsets.to_numpy()
+        for i, row in enumerate(zip(*columns)):
+            yield row[:4], (*row[4:], values[ends[i] : ends[i + 1]].copy())
+
+    def run(batches):
+        key, homes, block, forest, roots = None, [], None, None, None
+
+        def compare(row, upto):
+            name, root, code, grams = row
+            root = forest.root(root)
+            code = np.frombuffer(code, np.uint64)
+            for j in block.similar(code, grams, roots, root, upto, similarity, radius):
+                mine, other = forest.root(root), forest.root(int(roots[j]))
+                if mine != other:
+                    forest.joins(mine, other)
+                    roots[roots == max(mine, other)] = min(mine, other)
+                    yield name, int(block.names[j])
+
+        def begin():
+            nonlocal block, forest, roots
+            block, forest = _SetBlock(homes), _Forest()
+            roots = block.roots.copy()
+
+        def inside():
+            """The links of a block with itself, once it is whole."""
+            if homes and key[1] == key[2]:
+                begin()
+                for i, row in enumerate(homes[1:], 1):
+                    yield from compare(row, i)
+
+        def out(found):
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], schema=arrow)
+
+        for batch in batches:
+            found = []
+            for (group, low, high, guest), row in of_batch(batch):
+                if key != (group, low, high):
+                    found += inside()
+                    key, homes, block = (group, low, high), [], None
+                if not guest:
+                    homes.append(row)
+                elif homes:
+                    if block is None:
+                        begin()
+                    found += compare(row, len(homes))
+            if found:
+                yield out(found)
+        found = list(inside())
+        if found:
+            yield out(found)
+
+    return dealt.mapInArrow(run, schema)
+
+
 def keep_one(
     docs: DataFrame,
     similarity: float = SIMILARITY,
@@ -280,8 +385,8 @@ def keep_one(
     Candidates differ in at most ``radius`` of ``words * 64`` bits, or are small sets of which one has one
     shingle more. They are confirmed by the Jaccard similarity of their sets of ``shingle`` words: first the
     links of a spanning forest; where one of them fails, all candidates that confirmed links do not yet
-    connect. Fingerprints are of
-    these sets, without repeats. Texts with equal sets (by a hash of 64 bits) are one text here, so all rows
+    connect (these are looked through inside the tasks, of which each returns a forest of links that hold; see
+    ``_links_in_groups``). Fingerprints are of these sets, without repeats. Texts with equal sets (by a hash of 64 bits) are one text here, so all rows
     without a word, null ones too, are one group. An empty table stays empty.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
@@ -313,29 +418,33 @@ def keep_one(
     )
     # Sets as similar as asked differ in size by one band at most.
     band = F.floor(F.log(F.greatest("n_grams", F.lit(1))) / F.log(F.lit(1 / similarity)) + 1e-9)
-    def candidates(of: DataFrame, root: Column | None = None) -> DataFrame:
+
+    def candidates(of: DataFrame) -> DataFrame:
         side, width = 64 * words + 1, max(1, radius // 2)
-        code, limited = F.col("code"), F.least(band, F.lit(127))
-        return links(of, [F.col("ones")], radius, side, width, code, limited, root=root)
+        return links(of, [F.col("ones")], radius, side, width, F.col("code"), F.least(band, F.lit(127)))
 
-    def confirm(found: DataFrame) -> DataFrame:
+    def sets_of(found: DataFrame) -> DataFrame:
         asked = found.select(F.col("a").alias("fp")).union(found.select("b")).distinct()
         asked = asked.join(distinct.select("fp", "first.doc_id", "first.tie"), "fp")
         same_row = rows["doc_id"].eqNullSafe(asked["doc_id"]) & rows["tie"].eqNullSafe(asked["tie"])
         release_shuffles(docs.sparkSession)
-        sets = write_stage(_shingle_sets(rows.join(asked, same_row).select("fp", "text"), shingle))
+        # A repeated row has the same set.
+        return write_stage(_shingle_sets(rows.join(asked, same_row).select("fp", "text"), shingle).dropDuplicates(["fp"]))
+
+    def confirm(found: DataFrame, sets: DataFrame) -> DataFrame:
         left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("grams_a"))
         right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("grams_b"))
         shared = F.size(F.array_intersect("grams_a", "grams_b"))
         confirmed = found.join(left, "a").join(right, "b").where(
             shared >= F.lit(similarity) * (F.size("grams_a") + F.size("grams_b") - shared)
         )
-        return write_stage(confirmed.select("a", "b").distinct())
+        return write_stage(confirmed.select("a", "b"))
 
     names = distinct.select(F.col("fp").alias("b"))
     one_more = distinct.select(F.col("fp").alias("a"), F.explode("less").alias("b")).join(names, "b").select("a", "b")
     found = write_stage(candidates(distinct).unionByName(one_more).distinct())
-    confirmed = confirm(found)
+    sets = sets_of(found)
+    confirmed = confirm(found, sets)
     if confirmed.count() < found.count():
         # A link that failed may have stood in for one that holds.
         group = connected(found).select("node", F.col("root").alias("group"))
@@ -345,9 +454,10 @@ def keep_one(
         several = labelled.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         open_groups = several.where("low < high").select("group")
         again = labelled.join(open_groups, "group").join(distinct, labelled["node"] == distinct["fp"])
-        again = write_stage(again.select("fp", "code", "ones", "n_grams", "root"))
-        rest = write_stage(candidates(again, F.col("root")).join(found, ["a", "b"], "left_anti").distinct())
-        confirmed = confirmed.unionByName(confirm(rest))
+        again = write_stage(again.where("n_grams > 0").select("fp", "group", "root", "code", "n_grams"))
+        release_shuffles(docs.sparkSession)
+        more = write_stage(_links_in_groups(again, sets, similarity, radius))
+        confirmed = confirmed.unionByName(more)
     roots = connected(confirmed)
     first = distinct.join(roots, distinct["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp")).agg(
         F.min("first").alias("first")

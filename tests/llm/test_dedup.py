@@ -1,5 +1,7 @@
 """Near-duplicates, repeated byte strings and repeated word windows against plain versions."""
 
+import random
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -80,6 +82,84 @@ def test_keep_one_checks_links_that_others_stand_in_for(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one(frame).collect()) == [i for i in range(120) if i % 3 < 2]
 
 
+def shingles(text, size=5):
+    words = text.split()
+    return zip(*(words[i:] for i in range(size)))
+
+
+def two_groups(m, rng):
+    """Texts of two groups: shingle sets alike by about 0.98 inside a group and 0.76 across."""
+    shared = [f"w{i}" for i in range(500)]
+    texts = []
+    for side in "ab":
+        body = shared[:432] + [f"{side}{i}" for i in range(68)]
+        for k in range(m):
+            words = list(body)
+            words[rng.randrange(5, 400)] = f"{side}x{k}"
+            texts.append(" ".join(words))
+    return texts
+
+
+@pytest.mark.parametrize("m, block_rows", [(2000, 2048), (150, 40)])
+def test_links_of_two_large_groups_below_the_limit(spark, monkeypatch, m, block_rows):
+    texts = two_groups(m, random.Random(4))
+    inside, across = (len(a & b) / len(a | b) for a, b in ([set(shingles(texts[i])), set(shingles(texts[j]))] for i, j in ((0, 1), (0, m))))
+    assert inside > 0.9 and 0.7 < across < 0.8
+    counted, plain = [], simhash._links_in_groups
+
+    def counting(*given):
+        found = plain(*given)
+        counted.append((given[0].count(), found.count()))
+        return found
+
+    monkeypatch.setattr(simhash, "_links_in_groups", counting)
+    monkeypatch.setattr(simhash, "SET_BLOCK_ROWS", block_rows)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(frame).collect()) == [0, m]
+    for n_rows, n_links in counted:
+        assert n_links <= n_rows
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 2048])
+def test_links_in_groups_against_all_pairs(spark, monkeypatch, block_rows):
+    rng = random.Random(8)
+    monkeypatch.setattr(simhash, "SET_BLOCK_ROWS", block_rows)
+    base = [rng.sample(range(1, 400), 60) for _ in range(3)]
+    rows, sets = [], {}
+    for fp in range(60):
+        grams = set(base[fp % 3])
+        for _ in range(rng.randrange(0, 14)):
+            grams.discard(rng.choice(sorted(grams)))
+            grams.add(rng.randrange(1, 400))
+        code = simhash.wide_fingerprint(np.array(sorted(grams), np.uint64) * np.uint64(0x9E3779B97F4A7C15), 4)
+        sets[fp] = grams
+        rows.append((fp, fp % 2, fp // 2 * 2 if fp % 10 == 2 else fp, code.tobytes(), len(grams)))
+    frame = spark.createDataFrame(rows, "fp long, group long, root long, code binary, n_grams int")
+    shipped = spark.createDataFrame([(k, sorted(v)) for k, v in sets.items()], "fp long, grams array<long>")
+    found = simhash._links_in_groups(frame, shipped, 0.8, 256).collect()
+
+    def components(links):
+        above = {r[0]: r[2] for r in rows}
+        changed = True
+        while changed:
+            changed = False
+            for a, b in links:
+                low = min(above[a], above[b])
+                for x in [k for k in above if above[k] in (above[a], above[b])]:
+                    changed |= above[x] != low
+                    above[x] = low
+        return above
+
+    true = [
+        (a, b) for a in sets for b in sets
+        if a < b and a % 2 == b % 2 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    assert len(true) > 10
+    for r in found:
+        assert (min(r), max(r)) in true
+    assert components([tuple(r) for r in found]) == components(true)
+
+
 def test_keep_one_small_sets(spark):
     """Eight words and the same with a ninth: four of five shingles."""
     rows = [(2 * i + j, " ".join(f"w{i}x{k}" for k in range(8 + j))) for i in range(200) for j in range(2)]
