@@ -720,7 +720,7 @@ def kmeans_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     no more than the means of the given labels."""
     labelled = materialize(members(spark, sf_dir))
     model = clustering.fit_kmeans(labelled.drop("cluster_id"), SETTINGS)
-    centers = _literal(model.clusterCenters())  # at most clustering_k
+    centers = _literal(model.centers)  # at most clustering_k
     placed = clustering.assign(labelled.drop("cluster_id"), model)
     apart = F.transform(centers, lambda c: _squared(F.col("embedding").cast("array<double>"), c))
     cosines = F.transform(centers, lambda c: cosine(F.col("embedding"), c))

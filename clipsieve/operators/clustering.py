@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -13,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipsieve.functions.vectors import best_cosine, cosine
+from clipsieve.operators import kmeans
+from clipsieve.operators.kmeans import KMeansFit, nearest_and_strength
 from clipsieve.session import materialize
 from clipsieve.settings import Settings
 
@@ -20,28 +18,11 @@ MAX_INSUFFICIENT = 0.5
 MIN_COHERENCE = 0.2
 
 
-def fit_kmeans(embeddings: DataFrame, settings: Settings) -> KMeansModel:
-    """The cheapest of ``kmeans_starts`` seeded fits with ``min(k, rows)`` centers, at least one.
-
-    The vectors are kept in memory and on disk for the fits (about 8 bytes a dimension and row); each
-    iteration adds up partial sums per center, so an over-full cluster does not make a hot task.
-    ``parallel_fits`` fits run at once: one's short jobs leave cores idle that another can use.
-    """
-    vectors = embeddings.select(array_to_vector("embedding").alias("features"))
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        k = min(settings.clustering_k, vectors.count()) or 1
-        estimator = KMeans(k=k, maxIter=300, tol=1e-4)
-        seeds = [settings.random_seed + start for start in range(settings.kmeans_starts)]
-
-        def fit(seed: int) -> KMeansModel:
-            return estimator.copy({estimator.seed: seed}).fit(vectors)
-
-        with ThreadPoolExecutor(settings.parallel_fits) as pool:
-            fits = list(pool.map(inheritable_thread_target(embeddings.sparkSession)(fit), seeds))
-        return min(fits, key=lambda model: model.summary.trainingCost)
-    finally:
-        vectors.unpersist()
+def fit_kmeans(embeddings: DataFrame, settings: Settings) -> KMeansFit:
+    """The cheapest of ``kmeans_starts`` seeded fits with ``min(k, rows)`` centers, at least one; all starts share
+    each pass over the vectors."""
+    seeds = [settings.random_seed + start for start in range(settings.kmeans_starts)]
+    return kmeans.fit(embeddings, settings.clustering_k, seeds)
 
 
 def membership_strength(embeddings: DataFrame, centers: list) -> DataFrame:
@@ -50,16 +31,10 @@ def membership_strength(embeddings: DataFrame, centers: list) -> DataFrame:
     return embeddings.withColumn("strength", strength(F.col("embedding")))
 
 
-def assign(embeddings: DataFrame, model: KMeansModel) -> DataFrame:
-    """``run_id, video_id, cluster_id, strength, embedding``; narrow."""
-    placed = (
-        model.setFeaturesCol("_features")
-        .setPredictionCol("cluster_id")
-        .transform(embeddings.withColumn("_features", array_to_vector("embedding")))
-    )
-    return membership_strength(placed, model.clusterCenters()).select(
-        "run_id", "video_id", "cluster_id", "strength", "embedding"
-    )
+def assign(embeddings: DataFrame, model: KMeansFit) -> DataFrame:
+    """``run_id, video_id, cluster_id, strength, embedding``; narrow, one look at each vector."""
+    placed = embeddings.withColumn("_placed", nearest_and_strength(F.col("embedding"), model.centers))
+    return placed.select("run_id", "video_id", "_placed.cluster_id", "_placed.strength", "embedding")
 
 
 def centroids(members: DataFrame) -> DataFrame:

@@ -82,7 +82,6 @@ class Settings:
     language_threshold: float = 0.5
     clustering_k: int = 25
     kmeans_starts: int = 10
-    parallel_fits: int = 10
     random_seed: int = 7
     embedding_dims: int = 64
     max_terms: int = 5000

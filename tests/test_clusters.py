@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipsieve import Settings
-from clipsieve.operators import clustering, embedding, quantiles, ranking, tfidf
+from clipsieve.operators import clustering, embedding, kmeans, quantiles, ranking, tfidf
 from clipsieve.operators.hooks import encode
 
 TEXTS = {
@@ -156,13 +156,53 @@ def test_kmeans_finds_separate_groups(points):
     assert len(rows) == 120
     single = clustering.fit_kmeans(points, Settings(clustering_k=5, kmeans_starts=1))
     several = clustering.fit_kmeans(points, Settings(clustering_k=5, kmeans_starts=4))
-    assert several.summary.trainingCost <= single.summary.trainingCost + 1e-9
+    assert several.cost <= single.cost + 1e-9
 
 
 def test_k_is_at_most_the_number_of_rows(points):
     few = points.filter("video_id in ('0', '1')")
     model = clustering.fit_kmeans(few, Settings(clustering_k=25, kmeans_starts=1))
-    assert len(model.clusterCenters()) == 2
+    assert len(model.centers) == 2
+
+
+def lloyd(rows, centers):
+    """Plain passes until nothing moves; returns the cost."""
+    while True:
+        own = ((rows[:, None] - centers) ** 2).sum(axis=2).argmin(axis=1)
+        new = np.array([rows[own == c].mean(axis=0) if (own == c).any() else x for c, x in enumerate(centers)])
+        if np.abs(new - centers).max() < 1e-9:
+            return ((rows - centers[own]) ** 2).sum()
+        centers = new
+
+
+@pytest.mark.parametrize("sample_rows", [150, 16384])
+def test_shared_passes_cost_no_more_than_separate_fits(spark, sample_rows):
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(900, 6)) + 4 * rng.integers(0, 2, (900, 6))
+    data = [(f"v{i}", [float(x) for x in row]) for i, row in enumerate(rows)]
+    frame = spark.createDataFrame(data, "video_id string, embedding array<double>").repartition(5)
+    found = kmeans.fit(frame, 8, list(range(6)), sample_rows)
+    plain = [lloyd(rows, rows[np.random.default_rng(s).choice(900, 8, replace=False)]) for s in range(10)]
+    own = ((rows[:, None] - found.centers) ** 2).sum(axis=2).min(axis=1).sum()
+    assert own == pytest.approx(found.cost, rel=1e-3)
+    assert own <= 1.01 * min(plain)
+    again = kmeans.fit(frame.repartition(2), 8, list(range(6)), sample_rows)
+    assert again.cost == pytest.approx(found.cost, rel=0.01)
+
+
+def test_one_job_in_a_pass_whatever_the_starts(spark, points, monkeypatch):
+    passes, plain = [], kmeans._pass
+    monkeypatch.setattr(kmeans, "_pass", lambda vectors, centers: passes.append(len(centers)) or plain(vectors, centers))
+    found = kmeans.fit(points, 3, [1, 2, 3, 4, 5], sample_rows=30)
+    assert passes[0] == 5 and passes == sorted(passes, reverse=True)  # starts that stand still leave
+    assert found.passes <= len(passes) <= 20
+
+
+def test_equal_and_missing_rows(spark):
+    same = spark.createDataFrame([(str(i), [1.0, 2.0]) for i in range(9)], "video_id string, embedding array<double>")
+    found = kmeans.fit(same, 4, [1, 2])
+    assert found.cost == 0 and found.centers.tolist() == [[1.0, 2.0]] * 4
+    assert kmeans.fit(same.where("false"), 4, [1]).centers.shape == (1, 0)
 
 
 def test_coherence_and_flags(spark):
