@@ -607,3 +607,12 @@ SQL["hook_entities"] = f"""
     SELECT video_id, word AS surface, 'PERSON' AS type,
            CASE WHEN length(word) % 2 = 1 THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END AS confidence
     FROM (SELECT video_id, split_part(ner_text, ' ', 1) AS word FROM ({SQL['ner_text']}))"""
+
+# Stages that lie together by id give the same rows.
+for _colocated, _query in {
+    "colocated_texts": "cluster_texts",
+    "colocated_insufficient": "cluster_insufficient",
+    "colocated_sentiment": "cluster_sentiment",
+    "colocated_exemplars": "exemplars",
+}.items():
+    SQL[_colocated] = SQL[_query]

@@ -23,6 +23,7 @@ from clipsieve.operators.evidence import insufficient, language_columns, prepare
 from clipsieve.functions.vectors import cosine
 from clipsieve.session import materialize, prepare_session, stage_root
 from clipsieve.sources import posts, sinks
+from clipsieve.sources.colocated import write_colocated
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -780,6 +781,41 @@ def _folder(spark: SparkSession) -> str:
     return f"{stage_root(spark)}/{uuid.uuid4().hex}"
 
 
+# Joins of stages that lie together by id
+
+
+def _lying_together(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The given clusters and the evidence, both in the same buckets."""
+    rows = members(spark, sf_dir).drop("embedding")
+    return write_colocated(rows, _folder(spark)), write_colocated(evidence_rows(spark, sf_dir), _folder(spark))
+
+
+@query
+def colocated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = profiles.cluster_texts(*_lying_together(spark, sf_dir))
+    return rows.withColumn("hashtags_list_norm", shown("hashtags_list_norm"))
+
+
+@query
+def colocated_insufficient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = clustering.insufficient_share(*_lying_together(spark, sf_dir))
+    return rows.withColumn("pct_insufficient_topic", rounded("pct_insufficient_topic"))
+
+
+@query
+def colocated_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clusters, evidence = _lying_together(spark, sf_dir)
+    scores = write_colocated(lexicon.lexicon_scores(evidence, SETTINGS), _folder(spark), dealt=True)
+    rows = lexicon.cluster_sentiment(clusters, scores)
+    return rows.withColumn("mean_polarity", rounded("mean_polarity"))
+
+
+@query
+def colocated_exemplars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cards.exemplars(*_lying_together(spark, sf_dir))
+    return rows.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 @query
 def sink_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = ["hashtags_list_raw", "hashtags_list_norm", "lex_tokens", "noise_hits"]

@@ -18,6 +18,7 @@ from clipsieve.operators.profiles import build_profiles, missing_evidence
 from clipsieve.session import clear_stages, materialize, prepare_session
 from clipsieve.settings import Settings
 from clipsieve.sources import sinks
+from clipsieve.sources.colocated import write_colocated
 from clipsieve.sources.posts import ingest, ingest_checks, keep_one, normalize_columns, require_unique
 
 
@@ -48,7 +49,8 @@ def run(
     """Write every stage below ``output_dir`` and return the stages and the run status.
 
     Each stage is written once and read back, which cuts its lineage: a lost executor costs a re-read,
-    and the next stage reads only the columns that it uses. Cards are written only for a valid run.
+    and the next stage reads only the columns that it uses. Stages of ids are dealt out by id when the evidence
+    is written, and stay so. Cards are written only for a valid run.
     Repeated ids stop the run with their number, before anything is written, or one row of each is kept
     (``settings.repeated_ids``). The files of steps inside a stage are removed at the end.
     """
@@ -74,21 +76,25 @@ def _run(
     def table(rows: DataFrame, name: str) -> DataFrame:
         return sinks.write_table(rows, f"{base}/{name}")
 
+    def by_id(rows: DataFrame, name: str, dealt: bool = True) -> DataFrame:
+        """Stages with a row or more for each id lie together by id: no join between them moves them again."""
+        return write_colocated(rows, f"{base}/{name}", buckets=settings.stage_buckets, dealt=dealt)
+
     ingested = ingest(posts)
     if settings.repeated_ids == "stop":
         require_unique(normalize_columns(posts).select("video_id").where("video_id is not null"))
     else:
         others = [F.xxhash64(*ingested.columns)]
         ingested = keep_one(ingested, [F.asc_nulls_last("created_at"), *others])
-    evidence = table(prepare_evidence(ingested, settings, detector), "prepared_evidence")
-    scores = table(lexicon.lexicon_scores(evidence, settings), "lexicon_scores")
+    evidence = by_id(prepare_evidence(ingested, settings, detector), "prepared_evidence", dealt=False)
+    scores = by_id(lexicon.lexicon_scores(evidence, settings), "lexicon_scores")
     tagged = with_model_entities(evidence, make_entity_model) if make_entity_model else evidence
-    found = table(entities.candidates(tagged, settings), "entity_candidates")
-    mentions = table(entities.mentions(found), "entities_mentions")
-    by_video = table(entities.entities_by_video(found), "entities_by_video")
-    embeddings = table(embed(evidence, settings, make_encoder), "embeddings")
+    found = by_id(entities.candidates(tagged, settings), "entity_candidates")
+    mentions = by_id(entities.mentions(found), "entities_mentions")
+    by_video = by_id(entities.entities_by_video(found), "entities_by_video")
+    embeddings = by_id(embed(evidence, settings, make_encoder), "embeddings")
     members, metrics = clustering.cluster_embeddings(embeddings, evidence, settings)
-    clusters = table(members, "clusters")
+    clusters = by_id(members, "clusters", dealt=False)
     metrics = table(metrics, "cluster_metrics")
     profiles = table(
         build_profiles(evidence, clusters, metrics, mentions, settings, stop_words), "cluster_profiles"

@@ -95,6 +95,8 @@ class Settings:
     noise: NoiseLists = field(default_factory=NoiseLists)
     # Rows that repeat an id: "stop" the run, or "keep_one" (the earliest, then the least by all values).
     repeated_ids: str = "stop"
+    # Parts that stages of ids are dealt out to; by default the session's number of shuffle partitions.
+    stage_buckets: int | None = None
 
     def __post_init__(self) -> None:
         # The vocabulary and the basis of its terms come to the driver.
