@@ -115,14 +115,15 @@ _BLOCK = 1 << 12  # slots whose state travels in a row
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """``h, text, label``: about ``rows`` different labelled texts; copies with one label count once."""
+    """``h, text, label``: about ``rows`` different labelled texts; copies with one label count once. Hashes alone
+    are joined to count them, then the texts below a limit."""
     known = labels.where(F.col(label).isNotNull()).select("doc_id", (F.col(label) == 1).cast("int").alias("label"))
-    joined = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
-    joined = joined.select(F.xxhash64("text").alias("h"), "text", "label")
-    there = joined.agg(F.approx_count_distinct("h")).first()[0]
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    there = texts.select("doc_id", "h").join(known, "doc_id").agg(F.approx_count_distinct("h")).first()[0]
     if there > rows:
-        joined = joined.where(F.col("h") < int((rows / there - 0.5) * 2**64))
-    return joined.dropDuplicates(["h", "label"])
+        texts = texts.where(F.col("h") < int((rows / there - 0.5) * 2**64))
+    return texts.join(known, "doc_id").select("h", "text", "label").dropDuplicates(["h", "label"])
 
 
 def _write_sample(sample: DataFrame, slots: int, longest: int, shards: int) -> list[DataFrame]:
