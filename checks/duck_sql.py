@@ -616,3 +616,7 @@ for _colocated, _query in {
     "colocated_exemplars": "exemplars",
 }.items():
     SQL[_colocated] = SQL[_query]
+
+# A summary only chooses what is counted.
+SQL["vocab_cap_summary"] = SQL["vocab_cap"]
+SQL["token_noise_summary"] = SQL["token_noise_report"]

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -781,6 +782,20 @@ def _folder(spark: SparkSession) -> str:
     return f"{stage_root(spark)}/{uuid.uuid4().hex}"
 
 
+# Frequent values chosen by a summary of bounded size, then counted
+
+
+@query
+def vocab_cap_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tfidf.vocabulary(evidence_rows(spark, sf_dir), replace(SETTINGS, summary_values=200_000))
+
+
+@query
+def token_noise_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = noise.token_noise_report(evidence_rows(spark, sf_dir), replace(SETTINGS, summary_values=20_000))
+    return rows.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 # Joins of stages that lie together by id
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from clipsieve.functions import text
 from clipsieve.functions.arrays import is_any_of
+from clipsieve.operators import heavy
 from clipsieve.operators.ranking import top_n
 from clipsieve.session import materialize
 from clipsieve.settings import Settings
@@ -45,7 +46,8 @@ def vocabulary(evidence: DataFrame, settings: Settings) -> DataFrame:
 
     Every text is followed by its distinct terms: occurrences give the totals and distinct terms the
     document frequencies, in one pass and one map-side sum. So a very frequent term sends one partial
-    sum per task.
+    sum per task. With ``settings.summary_values`` a summary chooses the terms that can be among the first, if
+    it can prove them, and only these are counted; the rows are the same.
     """
     found = evidence.select(text.terms(F.col("topic_text")).alias("_terms"))
     listed = found.select(
@@ -53,9 +55,14 @@ def vocabulary(evidence: DataFrame, settings: Settings) -> DataFrame:
         F.posexplode_outer(F.concat("_terms", F.array_distinct("_terms"))).alias("_pos", "term"),
     )
     occurrence = F.col("_pos") < F.col("_n")
+    listed = listed.filter(F.col("term").isNotNull())
+    if settings.summary_values:
+        values = listed.filter(occurrence).select(F.col("term").alias("value"))
+        chosen = heavy.candidates(values, settings.max_terms, settings.summary_values)
+        if chosen is not None:
+            listed = listed.join(chosen, listed["term"] == chosen["value"], "left_semi")
     return (
-        listed.filter(F.col("term").isNotNull())
-        .groupBy("term")
+        listed.groupBy("term")
         .agg(F.count_if(occurrence).alias("total"), F.count_if(~occurrence).alias("df"))
         .orderBy(*_first_terms())
         .limit(settings.max_terms)

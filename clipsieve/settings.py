@@ -97,6 +97,8 @@ class Settings:
     repeated_ids: str = "stop"
     # Parts that stages of ids are dealt out to; by default the session's number of shuffle partitions.
     stage_buckets: int | None = None
+    # Values that a summary tracks to find frequent ones, so that others need not be counted; 0 counts all.
+    summary_values: int = 0
 
     def __post_init__(self) -> None:
         # The vocabulary and the basis of its terms come to the driver.
