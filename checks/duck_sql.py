@@ -620,3 +620,5 @@ for _colocated, _query in {
 # A summary only chooses what is counted.
 SQL["vocab_cap_summary"] = SQL["vocab_cap"]
 SQL["token_noise_summary"] = SQL["token_noise_report"]
+SQL["sink_cards"] = """
+    SELECT label::BIGINT AS cluster_id, 1::BIGINT AS headings, count(*) AS size FROM embeddings GROUP BY label"""

@@ -831,6 +831,19 @@ def colocated_exemplars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@query
+def sink_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first lines of the written cards."""
+    path = _folder(spark)
+    sinks.write_cards(operator_cards(spark, sf_dir), path)
+    lines = spark.read.text(path).select(F.col("cluster_id").cast("bigint"), "value")
+    heading = F.format_string("# Cluster %d", "cluster_id")
+    return lines.groupBy("cluster_id").agg(
+        F.count_if(F.col("value") == heading).alias("headings"),
+        F.max(F.regexp_extract("value", r"^Size: (\d+)$", 1)).cast("bigint").alias("size"),
+    )
+
+
 @query
 def sink_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = ["hashtags_list_raw", "hashtags_list_norm", "lex_tokens", "noise_hits"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipsieve.functions.numbers import fixed
 from clipsieve.operators.integrity import low_anchor_quality
 from clipsieve.operators.lexicon import cluster_sentiment, lexicon_overlay
 from clipsieve.operators.profiles import cluster_size, sample_rows
@@ -108,7 +109,7 @@ def _lines(rows: DataFrame, name: str, line: Column, *order: str) -> DataFrame:
 
 def _keyword_lines(keywords: Column) -> Column:
     lines = F.transform(
-        keywords, lambda item: F.format_string("- %s (%.3f)", item["term"], item["score"])
+        keywords, lambda item: F.format_string("- %s (%s)", item["term"], fixed(item["score"], 3))
     )
     return F.when(F.size(lines) > 0, F.array_join(lines, "\n"))
 
@@ -118,9 +119,9 @@ def _anchor_lines(by_type: Column) -> Column:
         items = F.transform(
             entry["value"],
             lambda anchor: F.format_string(
-                "  - %s (coverage %.2f, support %d)",
+                "  - %s (coverage %s, support %d)",
                 anchor["entity"],
-                anchor["coverage"],
+                fixed(anchor["coverage"], 2),
                 anchor["support"],
             ),
         )
@@ -132,7 +133,7 @@ def _anchor_lines(by_type: Column) -> Column:
 
 def _overlay_text(clusters: DataFrame, scores: DataFrame, settings: Settings) -> DataFrame:
     """Per cluster: families in the order of the settings, then the labels that had hits."""
-    item = F.struct("rank", F.format_string("%s (%.2f)", "token", "weight").alias("text"))
+    item = F.struct("rank", F.format_string("%s (%s)", "token", fixed("weight", 2)).alias("text"))
     per_label = (
         lexicon_overlay(clusters, scores)
         .groupBy("cluster_id", "family", "label")
@@ -187,7 +188,7 @@ def cards(
     )
     hidden = low_anchor_quality(F.col("anchor_coverage"), F.col("anchor_garbage_rate"), settings)
     polarity = F.when(
-        F.col("mean_polarity").isNotNull(), F.format_string("- mean polarity: %.3f", "mean_polarity")
+        F.col("mean_polarity").isNotNull(), F.format_string("- mean polarity: %s", fixed("mean_polarity", 3))
     ).otherwise(F.lit("- sentiment unavailable"))
     families = "\n".join(f"- **{family}**" for family in settings.lexicons)
     text = F.concat_ws(
@@ -195,9 +196,9 @@ def cards(
         F.format_string("# Cluster %s", F.col("cluster_id").cast("string")),
         F.lit(f"Run: {settings.run_id}"),
         F.format_string("Size: %d", "size"),
-        F.format_string("Coherence: %.3f", "coherence_score"),
-        F.format_string("Strength median/IQR: %.3f / %.3f", "strength_median", "strength_iqr"),
-        F.format_string("Anchor coverage: %.2f (garbage %.2f)", "anchor_coverage", "anchor_garbage_rate"),
+        F.format_string("Coherence: %s", fixed("coherence_score", 3)),
+        F.format_string("Strength median/IQR: %s / %s", fixed("strength_median", 3), fixed("strength_iqr", 3)),
+        F.format_string("Anchor coverage: %s (garbage %s)", fixed("anchor_coverage", 2), fixed("anchor_garbage_rate", 2)),
         F.lit("\n## What it's about"),
         F.lit("### Description keywords"),
         _keyword_lines(F.col("keywords_desc")),

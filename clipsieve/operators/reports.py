@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipsieve.functions.numbers import fixed
 from clipsieve.operators import entities
 from clipsieve.operators.clustering import cluster_qa
 from clipsieve.settings import Settings
@@ -60,9 +61,9 @@ def ner_report(qa: DataFrame, by_video: DataFrame, found: DataFrame, settings: S
     """Rates, the reject reasons of posts that have an entity, and those of all candidates in ``found``."""
     lines = F.array(
         F.format_string("Universe rows: %d", "universe"),
-        F.format_string("Coverage: %.3f", "coverage"),
-        F.format_string("Garbage rate: %.3f", "garbage_rate"),
-        F.format_string("Handle mis-typing rate: %.3f", "handle_mistype_rate"),
+        F.format_string("Coverage: %s", fixed("coverage", 3)),
+        F.format_string("Garbage rate: %s", fixed("garbage_rate", 3)),
+        F.format_string("Handle mis-typing rate: %s", fixed("handle_mistype_rate", 3)),
         F.lit(""),
         F.lit("## Top rejected reasons"),
     )
@@ -82,16 +83,16 @@ def ner_report(qa: DataFrame, by_video: DataFrame, found: DataFrame, settings: S
 def cluster_report(metrics: DataFrame, settings: Settings) -> DataFrame:
     summary = F.array(
         F.format_string("Clusters: %d", "clusters"),
-        F.format_string("Coherence mean: %.3f", "coherence_mean"),
-        F.format_string("Coherence median: %.3f", "coherence_median"),
+        F.format_string("Coherence mean: %s", fixed("coherence_mean", 3)),
+        F.format_string("Coherence median: %s", fixed("coherence_median", 3)),
         F.lit(""),
         F.lit("## Flagged clusters"),
     )
     flagged = F.format_string(
-        "- Cluster %d flagged as platform bucket (coherence %.3f, insufficient %.2f)",
+        "- Cluster %d flagged as platform bucket (coherence %s, insufficient %s)",
         "cluster_id",
-        "coherence",
-        "pct_insufficient_topic",
+        fixed("coherence", 3),
+        fixed("pct_insufficient_topic", 2),
     )
     return _together(
         [
@@ -116,8 +117,8 @@ def integrity_report(
         F.concat(F.lit("Run status: "), F.col("run_status")),
         F.concat(F.lit("Universe hash: "), F.col("universe_hash")),
         F.concat(F.lit("Hashes consistent: "), F.initcap(F.col("hashes_match").cast("string"))),
-        F.format_string("Sample video id pass rate: %.2f", "sample_video_rate"),
-        F.format_string("NER coverage: %.2f", "ner_coverage"),
+        F.format_string("Sample video id pass rate: %s", fixed("sample_video_rate", 2)),
+        F.format_string("NER coverage: %s", fixed("ner_coverage", 2)),
         F.lit(""),
         F.lit("## Findings"),
         F.format_string("- clusters with weak anchors: %d", "weak_profiles"),
