@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -66,6 +67,7 @@ class Encoder:
         self._a = Tokenizer.from_file(path_a)
         self._a.encode_special_tokens = True  # their strings in a text are ordinary text
         self._b = SentencePieceProcessor(model_file=path_b)
+        self._model, self._space_letter = self._a.model, next(c for c, x in _letter_bytes().items() if x == 32)
         letters, vocabulary = _letter_bytes(), self._a.get_vocab(with_added_tokens=False)
         self._bytes_a = [b""] * (1 + max(vocabulary.values()))
         for token, i in vocabulary.items():
@@ -76,7 +78,7 @@ class Encoder:
         ]
         #: Bytes of each token, and the widths of ids as they are written.
         self.lengths = [np.array([len(x) for x in table]) for table in (self._bytes_a, self._bytes_b)]
-        self.kinds = [np.dtype("<u2" if len(table) <= 1 << 16 else "<u4") for table in (self._bytes_a, self._bytes_b)]
+        self.kinds = [np.dtype("u2" if len(table) <= 1 << 16 else "u4") for table in (self._bytes_a, self._bytes_b)]
         # A space on its own, and what comes before a text that begins with a line break.
         self._space = self._b.piece_to_id("▁")
         self._lead = self._b.encode("\n", num_threads=1)
@@ -95,17 +97,22 @@ class Encoder:
         elif len(unit) == 1:
             b = [self._space]
         data = unit.encode()
-        if max(a) >= len(self._bytes_a) or b"".join([self._bytes_a[i] for i in a]) != data:
+        if max(a) >= len(self._bytes_a) or b"".join(map(self._bytes_a.__getitem__, a)) != data:
             return None
-        if b"".join([self._bytes_b[i] for i in b]) != data:
+        if b"".join(map(self._bytes_b.__getitem__, b)) != data:
             return None
-        return np.array(a, self.kinds[0]).tobytes(), np.array(b, self.kinds[1]).tobytes()
+        return array(self.kinds[0].char, a).tobytes(), array(self.kinds[1].char, b).tobytes()
 
     def _learn(self, names: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
         """Units met for the first time, all encoded in one call of each library."""
-        a = self._a.encode_batch(names, add_special_tokens=False)
+        plain = [n for n in names if n.isascii() and n[1:].isalpha() and (n[0] == " " or n[0].isalpha())]
+        # Letters alone are one word to the pattern of A, which its model takes without the steps before it.
+        tokens = self._model.tokenize
+        of_a = {n: [t.id for t in tokens(n.replace(" ", self._space_letter))] for n in plain}
+        rest = [n for n in names if n not in of_a]
+        of_a |= zip(rest, [x.ids for x in self._a.encode_batch(rest, add_special_tokens=False)])
         b = self._b.encode([n[1:] if n[0] == " " else "\n" + n for n in names], num_threads=1)
-        return {n: self._ids(n, x.ids, y) for n, x, y in zip(names, a, b)}
+        return {n: self._ids(n, of_a[n], y) for n, y in zip(names, b)}
 
     def _cut(self, whole: str) -> list[str]:
         if not self.cuts:
