@@ -110,11 +110,13 @@ def pack(
 
     ``weights`` sets the mixture by source; sources that it leaves out are served last. Without it each
     source has its share of all tokens, and all queues end together. At most ``queues`` queues: the sources
-    with most documents have their own, the rest share one. ``source`` null is a source like any other.
+    with most documents have their own, the rest share one; more ``weights`` than that are refused. ``source`` null is a source like any other.
     Null text is an empty document of one token, ``end_id``. Repeated rows and null ids are packed like any
     others. Only the last sequence can be short. An empty table gives no piece.
     """
-    named = list(weights)[: queues - 1] if weights is not None else _largest(docs, queues)
+    if weights is not None and len(weights) >= queues:
+        raise ValueError(f"{len(weights)} weights and all other sources need more than {queues} queues")
+    named = list(weights) if weights is not None else _largest(docs, queues)
     number = {source: i for i, source in enumerate(named)}
     last = len(named)
 

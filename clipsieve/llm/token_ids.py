@@ -2,6 +2,7 @@
 
 The vocabulary drops white space and never joins across it, so the ids of a text are the ids of its
 words in order. Words repeat, so each one is encoded once by the library and kept in a bounded table.
+The strings of its special tokens hold no white space; in a text they become these tokens, as the library has it.
 """
 
 from __future__ import annotations
@@ -38,7 +39,6 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._model = self._tokenizer.model
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
@@ -65,8 +65,10 @@ class WordIds(dict):
 
     def of_text(self, text: bytes) -> bytes:
         # The vocabulary lower-cases; doing so here, where the text has one lower-case form only, lets more
-        # words be found again.
-        if text.isascii():
+        # words be found again. Special tokens are found before that, as they are written.
+        if b"<|" in text:
+            pass
+        elif text.isascii():
             text = text.lower()
         else:
             try:

@@ -148,7 +148,6 @@ def words_of():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(corpus_pipeline.WORD_VOCABULARY)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
