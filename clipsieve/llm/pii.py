@@ -17,7 +17,11 @@ CONTEXT_CHARS, CONTEXT_BONUS = 40, 0.3
 #: Spans of the added kinds need this score.
 LEAST_SCORE = 0.6
 
-_SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
+#: Spans are gathered in slices of so many, and plain text between them is cut from pieces of so many characters.
+SLICE, PIECE_CHARS = 256, 1024
+
+_SPAN = "struct<kind:string,start:int,end:int,score:double>"
+_SPANS = f"array<{_SPAN}>"
 
 
 def _digits(match: Column) -> Column:
@@ -132,36 +136,81 @@ KINDS = (
 )
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _in_slices(values: Column, start: Column, step, item: str) -> Column:
+    """Fold ``step`` over an array and return all that it puts ``out``, in order.
+
+    ``step`` takes the state and a value and returns the next state, with the values to add in ``out``. These
+    are gathered by slices of the array and put together once, as each addition copies what it adds to.
+    """
+    none = F.array().cast(f"array<{item}>")
+
+    def add(s: Column, value: Column) -> Column:
+        return F.struct(step(s["last"], value).alias("last"), F.concat(s["out"], s["last"]["out"]).alias("out"))
+
+    def end(s: Column) -> Column:
+        return F.struct(
+            s["last"].withField("out", none).alias("last"), F.concat(s["out"], s["last"]["out"]).alias("out")
+        )
+
+    def of_slice(s: Column, own: Column) -> Column:
+        begin = F.struct(s["own"]["last"].alias("last"), none.alias("out"))
+        slices = F.concat(s["slices"], F.array(s["own"]["out"]))
+        return F.struct(F.aggregate(own, begin, add, end).alias("own"), slices.alias("slices"))
+
+    def of_all(v: Column) -> Column:
+        places = F.sequence(F.lit(0), (F.size(v) / SLICE).cast("int"))
+        slices = F.transform(places, lambda i: F.slice(v, i * SLICE + 1, SLICE))
+        begin = F.struct(
+            F.struct(start.withField("out", none).alias("last"), none.alias("out")).alias("own"),
+            F.array().cast(f"array<array<{item}>>").alias("slices"),
+        )
+        return F.aggregate(
+            slices, begin, of_slice, lambda s: F.flatten(F.concat(s["slices"], F.array(s["own"]["out"])))
+        )
+
+    return _let(values, of_all)
+
+
 def _spans(text: Column, kind: Kind) -> Column:
     """The confirmed spans of a kind, in order. Splitting by the pattern gives what is between the matches,
-    so lengths give their places."""
+    so lengths give their places; the last characters passed are carried along as context."""
     between = F.split(text, kind.pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    none = F.array().cast(_SPANS)
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["between"])
         end = start + F.length(pair["match"])
-        before = F.substr(text, F.greatest(start - CONTEXT_CHARS + 1, F.lit(1)), F.least(start, F.lit(CONTEXT_CHARS)))
-        bonus = F.when(F.lower(before).rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
-        score = F.round(F.lit(kind.score) + bonus, 2)
-        span = F.array(
-            F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
-        ).cast(_SPANS)
-        accepted = kind.valid(pair["match"])
-        if not kind.base:
-            span = F.filter(span, lambda s: s["score"] >= LEAST_SCORE)
-        found = F.when(accepted, F.concat(state["found"], span)).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+
+        def at_match(before: Column) -> Column:
+            bonus = F.when(F.lower(before).rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
+            score = F.round(F.lit(kind.score) + bonus, 2)
+            span = F.array(
+                F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
+            ).cast(_SPANS)
+            if not kind.base:
+                span = F.filter(span, lambda s: s["score"] >= LEAST_SCORE)
+            found = F.when(kind.valid(pair["match"]), span).otherwise(F.array().cast(_SPANS))
+            return F.struct(end.alias("at"), _tail(before, pair["match"]).alias("before"), found.alias("out"))
+
+        return _let(_tail(state["before"], pair["between"]), at_match)
 
     # One more piece than matches: the last pair has no match and is left out.
     pairs = F.filter(
         F.arrays_zip(between.alias("between"), matches.alias("match")), lambda p: p["match"].isNotNull()
     )
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    found = F.aggregate(pairs, start, step, lambda state: state["found"])
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"))
     likely = text.contains("@") if kind.likely == "@" else text.rlike(kind.likely)
-    return F.when(likely, found).otherwise(none)
+    return F.when(likely, _in_slices(pairs, start, step, _SPAN)).otherwise(F.array().cast(_SPANS))
+
+
+def _tail(before: Column, further: Column) -> Column:
+    """The last characters, as many as count as context."""
+    return F.right(F.concat(before, further), F.lit(CONTEXT_CHARS))
 
 
 def find(docs: DataFrame, *kept: str) -> DataFrame:
@@ -209,22 +258,25 @@ def mask(docs: DataFrame) -> DataFrame:
             lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind")),
         )
     )
-    pieces = F.array().cast("array<string>")
-
-    def step(state: Column, span: Column) -> Column:
-        end = -span["back"]
-        plain = F.substr(text, state["at"] + 1, span["start"] - state["at"])
-        label = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        out = F.when(span["start"] >= state["at"], F.concat(state["out"], F.array(plain, label)))
-        return F.struct(F.greatest(state["at"], end).alias("at"), out.otherwise(state["out"]).alias("out"))
-
-    masked = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), pieces.alias("out")),
-        step,
-        lambda s: F.concat(F.array_join(s["out"], ""), F.substr(text, s["at"] + 1)),
-    )
+
+    def masked(pieces: Column) -> Column:
+        def plain(start: Column, end: Column) -> Column:
+            first = (start / PIECE_CHARS).cast("int")
+            own = F.slice(pieces, first + 1, (end / PIECE_CHARS).cast("int") - first + 1)
+            return F.substr(F.array_join(own, ""), start % PIECE_CHARS + 1, end - start)
+
+        def step(state: Column, span: Column) -> Column:
+            label = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
+            out = F.when(span["start"] >= state["at"], F.array(plain(state["at"], span["start"]), label))
+            at = F.greatest(state["at"], -span["back"])
+            return F.struct(at.alias("at"), F.coalesce(out, F.array().cast("array<string>")).alias("out"))
+
+        rest = F.array_max(F.transform("spans", lambda s: -s["back"]))
+        start = F.struct(F.lit(0).alias("at"))
+        return F.concat(F.array_join(_in_slices(F.col("spans"), start, step, "string"), ""), plain(rest, F.length(text)))
+
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
     result = found.select("row", ordered.alias("spans")).select(
-        "row", F.when(F.size("spans") > 0, masked).otherwise(text).alias("masked")
+        "row", F.when(F.size("spans") > 0, _let(cut, masked)).otherwise(text).alias("masked")
     )
     return result.select(*[F.col("masked" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns])
