@@ -8,6 +8,8 @@ and labelled sample, estimates the cross-entropy. The language that needs least
 from __future__ import annotations
 
 import math
+import random
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,11 +18,10 @@ from pyspark.sql import functions as F
 
 from clipsieve.llm.texts import map_batches, texts_of
 
-#: Bounds of the labelled sample: languages, rows of each, characters of a row, symbols of each language.
-MAX_LANGUAGES, SAMPLE_ROWS, ROW_CHARS, SAMPLE_SYMBOLS = 64, 64, 4096, 32_768
-#: Letters with an own symbol, the most frequent of the sample; the others share one that matches nothing.
-MAX_LETTERS = 250
-#: Texts are parsed in segments of so many symbols, side by side.
+#: Bounds of the labelled sample of each language: rows, and characters of these rows together.
+SAMPLE_ROWS, SAMPLE_CHARS = 64, 32_768
+#: Texts are parsed in segments of so many symbols, side by side. Each begins a phrase of its own, so a text
+#: has at most one phrase more for each full segment, where some 80 are usual.
 SEGMENT = 512
 
 UNKNOWN = "und"
@@ -63,22 +64,51 @@ class SuffixAutomaton:
                 self.link[target] = self.link[new] = copy
         return new
 
-    def phrase_table(self, symbols: int) -> np.ndarray:
-        """table[state * symbols + symbol]: twice the next row's start, plus one if a phrase begins there.
+    def phrase_table(self, symbols: int) -> "PhraseTable":
+        """The transitions as one table: a state is a place in it, and its symbols are counted from there."""
+        picks = random.Random(len(self.next))
+        size = 4 * sum(map(len, self.next)) + symbols + 2
+        used, places = bytearray(size + symbols), [0] * len(self.next)
+        taken = {0}  # the root's place, which no transition names: there each symbol begins a phrase
+        for state in sorted(range(1, len(self.next)), key=lambda i: -len(self.next[i])):
+            edges = self.next[state]
+            while True:
+                place = picks.randrange(1, size)
+                if place not in taken and not any(used[place + symbol] for symbol in edges):
+                    break
+            taken.add(place)
+            places[state] = place
+            for symbol in edges:
+                used[place + symbol] = 1
+        owner, target = np.full(size + symbols, -1, np.int32), np.zeros(size + symbols, np.int32)
+        for state, edges in enumerate(self.next[1:], 1):
+            for symbol, to in edges.items():
+                owner[places[state] + symbol] = places[state]
+                target[places[state] + symbol] = places[to]
+        first = np.zeros(symbols, np.int32)
+        for symbol, to in self.next[0].items():
+            first[symbol] = places[to]
+        return PhraseTable(owner, target, first)
 
-        Symbol 0 is padding: it changes nothing. Without a transition the phrase ends, and the symbol begins
-        the next one.
-        """
-        root = np.zeros(symbols, np.int64)
-        for symbol, target in self.next[0].items():
-            root[symbol] = target
-        table = np.tile(root * symbols * 2 + 1, (len(self.next), 1))
-        table[:, 0] = np.arange(len(self.next)) * symbols * 2
-        for state, edges in enumerate(self.next):
-            for symbol, target in edges.items():
-                table[state, symbol] = target * symbols * 2
-        table[0, 1:] |= 1  # from the root, at the start or after an unknown symbol
-        return table.reshape(-1).astype(np.int32 if table.max() < 1 << 31 else np.int64)
+
+@dataclass
+class PhraseTable:
+    """Where a symbol leads: ``target`` if ``owner`` names the state; else a phrase begins at ``first``."""
+
+    owner: np.ndarray
+    target: np.ndarray
+    first: np.ndarray
+
+    def count(self, grid: np.ndarray, active: list[int]) -> np.ndarray:
+        """Phrases of each column of ``grid``; of row i the first ``active[i]`` columns hold symbols."""
+        state, total = np.zeros(grid.shape[1], np.int32), np.zeros(grid.shape[1], np.int32)
+        for row, n in zip(grid, active):
+            symbols, at = row[:n], state[:n]
+            place = at + symbols
+            begins = self.owner[place] != at
+            total[:n] += begins
+            state[:n] = np.where(begins, self.first[symbols], self.target[place])
+        return total
 
 
 def _letters(text: str) -> np.ndarray:
@@ -89,57 +119,41 @@ def _letters(text: str) -> np.ndarray:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    tables: list[np.ndarray]
+    tables: list[PhraseTable]
     weights: list[float]  # log2 of the sample's length
-    letters: dict[int, int]  # code point to symbol; 1 is the space, 2 any other letter
+    letters: dict[int, int]  # code point to symbol; 1 is the space, 2 a letter that no sample has
     symbols: int
 
     def symbol_table(self) -> np.ndarray:
-        """Symbols of the code points below 0x10000."""
+        """Symbols of all code points."""
         if not hasattr(self, "_table"):
-            table = np.ones(1 << 16, np.uint8)
-            for point in range(1 << 16):
-                if not 0xD800 <= point < 0xE000 and chr(point).isalpha():
-                    table[point] = 2
+            points = range(sys.maxunicode + 1)
+            table = np.fromiter((1 + chr(p).isalpha() for p in points), np.int32, len(points))
             for point, symbol in self.letters.items():
-                if point < 1 << 16:
-                    table[point] = symbol
+                table[point] = symbol
             self._table = table
         return self._table
 
     def to_symbols(self, text: str) -> np.ndarray:
-        points = _letters(text)
-        if not len(points):
-            return np.zeros(0, np.uint8)
-        table = self.symbol_table()
-        symbols = table[np.minimum(points, 0xFFFF)]
-        high = np.flatnonzero(points > 0xFFFF)
-        for i in high:
-            symbols[i] = self.letters.get(int(points[i]), 2 if chr(points[i]).isalpha() else 1)
+        symbols = self.symbol_table()[_letters(text)]
         space = symbols == 1
-        return symbols[~(space & np.concatenate(([True], space[:-1])))]
+        return symbols[~(space & np.concatenate(([True], space[:-1])))] if len(symbols) else symbols
 
     def phrases(self, texts: list[np.ndarray], segment: int = SEGMENT) -> np.ndarray:
         """Number of phrases of each text (rows) in each language (columns)."""
-        counts = [-(-len(t) // segment) for t in texts]
-        width = sum(counts)
         out = np.zeros((len(texts), len(self.languages)), np.int64)
-        if not width:
+        parts = [(i, t[at : at + segment]) for i, t in enumerate(texts) for at in range(0, len(t), segment)]
+        if not parts:
             return out
-        grid = np.zeros(width * segment, np.uint8)
-        at = 0
-        for t, n in zip(texts, counts):
-            grid[at : at + len(t)] = t
-            at += n * segment
-        grid = np.ascontiguousarray(grid.reshape(width, segment).T)
-        owner = np.repeat(np.arange(len(texts)), counts)
+        parts.sort(key=lambda part: -len(part[1]))  # so that the columns still in use stand first
+        owner, lengths = np.array([i for i, _ in parts]), np.array([len(t) for _, t in parts])
+        grid = np.zeros((len(parts), lengths[0]), np.int32)
+        for row, (_, t) in zip(grid, parts):
+            row[: len(t)] = t
+        grid = np.ascontiguousarray(grid.T)
+        active = (lengths[None, :] > np.arange(len(grid))[:, None]).sum(axis=1).tolist()
         for j, table in enumerate(self.tables):
-            state, total = np.zeros(width, table.dtype), np.zeros(width, np.int32)
-            for row in grid:
-                step = table[state + row]
-                total += step & 1
-                state = step >> 1
-            np.add.at(out[:, j], owner, total)
+            np.add.at(out[:, j], owner, table.count(grid, active))
         return out
 
     def predict(self, texts: list[str]) -> list[tuple[str, float, float | None]]:
@@ -160,44 +174,40 @@ class LanguageModel:
         return out
 
 
-def fit(
-    labelled: DataFrame,
-    max_languages: int = MAX_LANGUAGES,
-    sample_rows: int = SAMPLE_ROWS,
-    sample_symbols: int = SAMPLE_SYMBOLS,
-) -> LanguageModel:
-    """Fit on a bounded sample of rows with ``text`` and non-null ``lang``: of each language (the
-    ``max_languages`` most frequent) the ``sample_rows`` rows with the smallest hash, up to ``ROW_CHARS``
-    characters of each, ``sample_symbols`` symbols in all. An empty table gives a model without languages.
+def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
+    """Fit on a bounded sample of the rows with ``text`` and non-null ``lang``: of every language up to
+    ``sample_rows`` different texts, those with the smallest hash, while they have ``sample_chars`` characters
+    together. Texts are taken whole. A longer text is taken only where a language has no other, and then the
+    shortest. The model is some 2 MB for each language. An empty table gives a model without languages.
     """
-    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    known = sorted(r["lang"] for r in frequent.collect())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (
-        rows.where(F.col("lang").isin(known))
-        .select("lang", F.substring("text", 1, ROW_CHARS).alias("text"))
+    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        "lang", "text", F.xxhash64("text").alias("h"), F.length("text").alias("chars")
+    )
+    beyond = F.when(F.col("chars") > sample_chars, F.col("chars")).otherwise(0)
+    order = Window.partitionBy("lang").orderBy(beyond, "h", "chars")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    chosen = (
+        rows.select("lang", "h", "chars")
+        .distinct()
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= sample_rows)
+        .withColumn("together", F.sum("chars").over(upto))
+        .where((F.col("place") == 1) | (F.col("together") <= sample_chars))
+        .drop("together")
     )
-    texts: dict[str, list[str]] = {lang: [] for lang in known}
+    sample = rows.join(chosen, ["lang", "h", "chars"]).groupBy("lang", "place").agg(F.min("text").alias("text"))
+    texts: dict[str, list[str]] = {}
     for row in sample.orderBy("lang", "place").collect():
-        texts[row["lang"]].append(row["text"])
-    return train(texts, sample_symbols)
+        texts.setdefault(row["lang"], []).append(row["text"])
+    return train(texts)
 
 
-def train(texts: dict[str, list[str]], sample_symbols: int = SAMPLE_SYMBOLS) -> LanguageModel:
+def train(texts: dict[str, list[str]]) -> LanguageModel:
     """The model of labelled texts; languages without a letter are left out."""
-    seen: dict[int, int] = {}
-    for own in texts.values():
-        points, counts = np.unique(_letters(" ".join(own)), return_counts=True)
-        for p, n in zip(points.tolist(), counts.tolist()):
-            if chr(p).isalpha():
-                seen[p] = seen.get(p, 0) + n
-    frequent = sorted(seen, key=lambda p: (-seen[p], p))[:MAX_LETTERS]
-    model = LanguageModel([], [], [], {p: i + 3 for i, p in enumerate(sorted(frequent))}, len(frequent) + 3)
+    points = {p for own in texts.values() for p in np.unique(_letters(" ".join(own))).tolist() if chr(p).isalpha()}
+    model = LanguageModel([], [], [], {p: i + 3 for i, p in enumerate(sorted(points))}, len(points) + 3)
     for lang in sorted(texts):
-        sequence = model.to_symbols(" ".join(texts[lang]))[:sample_symbols]
+        sequence = model.to_symbols(" ".join(texts[lang]))
         if (sequence > 1).any():
             automaton = SuffixAutomaton(sequence.tolist())
             model.languages.append(lang)

@@ -1,6 +1,7 @@
 """Language, personal data, packing, BPE, token files and quality against plain versions."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -22,7 +23,6 @@ from tests.llm.conftest import pairs
 @pytest.fixture(scope="module")
 def words():
     tokenizer = Tokenizer.from_file(WORD_VOCABULARY)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -68,6 +68,47 @@ def test_phrases_are_longest_matches(text, sample):
     assert found == expected
 
 
+def test_phrases_of_many_texts():
+    """Segments of many lengths side by side give what each text gives alone."""
+    rng = random.Random(8)
+    sample = {x: ["".join(rng.choice(a) for _ in range(900))] for x, a in (("aa", "abcé "), ("bb", "xyzé "))}
+    model = language.train(sample)
+    texts = [model.to_symbols("".join(rng.choice("abcxyzéq ") for _ in range(rng.randrange(90)))) for _ in range(60)]
+    together = model.phrases(texts, segment=16)
+    alone = [sum(model.phrases([t[at : at + 16]])[0] for at in range(0, len(t), 16)) for t in texts]
+    assert all((a == b).all() for a, b in zip(together, alone))
+
+
+def test_language_without_caps(spark):
+    """Eighty languages, three of them with a thousand letters, are all found; an unknown script is not."""
+    rng = random.Random(4)
+    alphabets = {f"l{i:02}": [chr(0xAC00 + 9 * i + j) for j in range(9)] for i in range(77)}
+    alphabets |= {f"w{i}": [chr(0x4E00 + 1000 * i + j) for j in range(1000)] for i in range(3)}
+    assert len(alphabets) == 80 and all(c.lower().isalpha() for own in alphabets.values() for c in own)
+    text = lambda own, n: "".join(rng.choice([*own, " "]) if rng.random() < 0.8 else " " for _ in range(n))
+    labelled = [(text(own, 1500), lang) for lang, own in alphabets.items() for _ in range(2)]
+    model = language.fit(spark.createDataFrame(labelled, "text string, lang string"))
+    assert model.languages == sorted(alphabets)
+    short = [(lang, text(own, 60) + own[0]) for lang, own in alphabets.items() for _ in range(3)]
+    assert [found[0] for found in model.predict([t for _, t in short])] == [lang for lang, _ in short]
+    thai = spark.createDataFrame([(1, "".join(chr(0xE01 + rng.randrange(46)) for _ in range(300)))], "doc_id long, text string")
+    assert language.identify(thai, model).first()["bits"] > 10 and language.keep_identified(thai, model).count() == 0
+
+
+def test_language_sample(spark):
+    """Copies fill one place of the sample, texts are whole, and only a language of long texts has one of them."""
+    copies = [("the very same words", "en")] * 100 + [(f"other words {chr(97 + i)}", "en") for i in range(5)]
+    long = [("é" * 700, "fr"), ("è" * 600, "fr"), ("q" * 600 + "z", "en")]
+    frame = spark.createDataFrame(copies + long + [(None, "en"), ("x", None)], "text string, lang string").repartition(4)
+    taken = {}
+    original, language.train = language.train, lambda texts: taken.update(texts)
+    try:
+        language.fit(frame, sample_rows=64, sample_chars=500)
+    finally:
+        language.train = original
+    assert sorted(taken["en"]) == sorted({t for t, _ in copies}) and taken["fr"] == ["è" * 600]
+
+
 # personal data
 
 
@@ -100,6 +141,26 @@ def test_pii_long_runs(spark):
     assert [r["n_email"] for r in pii.digest(frame).orderBy("doc_id").collect()] == [0, 0, 1, 0, 0]
 
 
+def test_pii_many_spans(spark):
+    """The cost of a text grows with its length, not with the square of its spans."""
+    text = " ".join(f"é{i} mail a{i}@b.org," for i in range(100_000))
+    frame = spark.createDataFrame([(1, text), (1, text), (2, "a@b.org" * 3)], "doc_id long, text string")
+    began = time.perf_counter()
+    found = pii.digest(frame).where("doc_id = 1").collect()
+    masked = [r["text"] for r in pii.mask(frame).where("doc_id = 1").collect()]
+    assert time.perf_counter() - began < 40
+    expected = brute.pii_row(text)
+    assert len(found) == 2 and all({k: r[k] for k in expected} == expected for r in found)
+    assert masked == [" ".join(f"é{i} mail [EMAIL]," for i in range(100_000))] * 2
+
+
+def test_pii_context_over_matches(spark):
+    """Context words count over the matches before a span, and only within their distance."""
+    texts = ["bank 123-45-6789 social security 123-45-6789 123-45-6789", "ssn" + " " * 36 + " 123-45-6789", "ssn" + " " * 36 + "  123-45-6789"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["spans"].count("ssn:") for r in pii.digest(frame).orderBy("doc_id").collect()] == [2, 1, 0]
+
+
 def test_pii_added_kinds_and_mask(spark):
     texts = [
         "iban DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432",
@@ -154,6 +215,21 @@ def test_packing_keeps_every_token(docs, rows, words, weights):
     assert sum(s != 64 for s in sizes) <= 1 and sorted(places) == list(range(len(places)))
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "A<|endoftext|>B <|ENDOFTEXT|> É<|startoftext|>", "<|x|> <|endoftext|", "É <| B"])
+def test_special_strings_are_read_as_the_library_does(spark, words, text):
+    frame = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    assert packing.pack(frame, WORD_VOCABULARY).first()["ids_crc32"] == brute.crc(words(text) + [2])
+    files = token_files.write_tokens(frame, WORD_VOCABULARY)
+    assert token_files.read_documents(files).first()["ids_crc32"] == brute.crc(words(text) + [1])
+
+
+def test_packing_refuses_more_weights_than_queues(docs):
+    with pytest.raises(ValueError):
+        packing.pack(docs, WORD_VOCABULARY, weights={f"s{i}": 1 for i in range(70)})
+    found = packing.pack(docs, WORD_VOCABULARY, window=64, weights={f"s{i}": 1 for i in range(70)}, queues=71)
+    assert found.select("queue").distinct().count() >= 3
+
+
 def test_packing_mixture_and_empty(docs, empty, repeated):
     assert packing.pack(empty, WORD_VOCABULARY).collect() == []
     assert packing.pack(repeated, WORD_VOCABULARY).count() >= repeated.count()
