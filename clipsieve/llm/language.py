@@ -16,10 +16,13 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipsieve.llm.stages import write_stage
 from clipsieve.llm.texts import map_batches, texts_of
 
 #: Bounds of the labelled sample of each language: rows, and characters of these rows together.
 SAMPLE_ROWS, SAMPLE_CHARS = 64, 32_768
+#: Slices in which the rows of a language are ranked.
+SLICES = 64
 #: Texts are parsed in segments of so many symbols, side by side. Each begins a phrase of its own, so a text
 #: has at most one phrase more for each full segment, where some 80 are usual.
 SEGMENT = 512
@@ -185,10 +188,14 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int =
     )
     beyond = F.when(F.col("chars") > sample_chars, F.col("chars")).otherwise(0)
     order = Window.partitionBy("lang").orderBy(beyond, "h", "chars")
+    of_slice = Window.partitionBy("lang", F.pmod("h", F.lit(SLICES))).orderBy(beyond, "h", "chars")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    chosen = (
+    # A frequent language is ranked by slices of the hash first; the texts of what is chosen are looked up.
+    chosen = write_stage(
         rows.select("lang", "h", "chars")
         .distinct()
+        .withColumn("place", F.row_number().over(of_slice))
+        .where(F.col("place") <= sample_rows)
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= sample_rows)
         .withColumn("together", F.sum("chars").over(upto))
