@@ -530,6 +530,15 @@ _QUERIES: dict[str, str] = {
       LEFT JOIN (SELECT stage, video_id, count(*) AS n FROM stages GROUP BY ALL) c
         ON c.stage = s.stage AND c.video_id = i.video_id
       GROUP BY s.stage""",
+    "universe_ids": """
+      SELECT video_id, stage, coalesce(n, 0) AS n, n_first
+      FROM (SELECT i.video_id, s.stage, c.n, coalesce(f.n, 0) AS n_first
+        FROM (SELECT DISTINCT video_id FROM stages) i CROSS JOIN (SELECT DISTINCT stage FROM stages) s
+        LEFT JOIN (SELECT stage, video_id, count(*) AS n FROM stages GROUP BY ALL) c
+          ON c.stage = s.stage AND c.video_id = i.video_id
+        LEFT JOIN (SELECT video_id, count(*) AS n FROM stages WHERE stage = 'evidence' GROUP BY ALL) f
+          ON f.video_id = i.video_id)
+      WHERE coalesce(n, 0) <> n_first""",
     "gate_sample_validity": """
       SELECT matches, total, CASE WHEN total > 0 THEN matches / total ELSE 0.0 END AS sample_video_rate
       FROM sample_check""",
@@ -582,6 +591,69 @@ SQL["embed_facts"] = """
 SQL["cluster_facts"] = """
     SELECT count(*) AS n, count(*) AS bounded, count(*) AS flagged_right FROM documents"""
 
+
+
+def _fixed(value: str, digits: int) -> str:
+    return f"format('{{:.{digits}f}}', CAST({value} AS DOUBLE))"
+
+
+def _card_sql() -> str:
+    """The text of every card, put together from the same parts as the other queries."""
+    families = list(CHECK_LEXICONS)
+
+    def keyword_lines(view: str) -> str:
+        return f"""SELECT cluster_id,
+            string_agg('- ' || term || ' (' || {_fixed("score", 3)} || ')', chr(10) ORDER BY rank) AS block
+          FROM keywords WHERE "view" = '{view}' GROUP BY cluster_id"""
+
+    blocks = ", ".join(
+        f"'- **{family}**', string_agg(line, chr(10) ORDER BY label) FILTER (family = {_quoted(family)})"
+        for family in families
+    )
+    plain = " || chr(10) || ".join(_quoted(f"- **{family}**") for family in families)
+    parts = f"""
+      desc_lines AS ({keyword_lines("desc")}),
+      tag_lines AS ({keyword_lines("hashtags")}),
+      anchor_lines AS (
+        SELECT cluster_id, string_agg('- **' || type || '**' || chr(10) || items, chr(10) ORDER BY type) AS block
+        FROM (SELECT cluster_id, type, string_agg('  - ' || entity || ' (coverage ' || {_fixed("coverage", 2)}
+                || ', support ' || support || ')', chr(10) ORDER BY rank) AS items
+              FROM anchor_rows GROUP BY cluster_id, type) GROUP BY cluster_id),
+      overlay AS (
+        SELECT cluster_id, concat_ws(chr(10), {blocks}) AS block
+        FROM (SELECT cluster_id, family, label, '  - ' || label || ': ' ||
+                string_agg(token || ' (' || {_fixed("weight", 2)} || ')', ', ' ORDER BY rank) AS line
+              FROM ({_QUERIES["lexicon_overlay"]}) GROUP BY cluster_id, family, label)
+        GROUP BY cluster_id),
+      moods AS (SELECT cluster_id, avg(sentiment_polarity) AS mean_polarity
+                FROM cl JOIN polarity USING (video_id) GROUP BY cluster_id),
+      examples AS (
+        SELECT cluster_id, string_agg(concat_ws(chr(10), '- Video ' || video_id, '  - desc: ' || snippet,
+          '  - hashtags: ' || hashtags), chr(10) ORDER BY rank) AS block
+        FROM ({_QUERIES["exemplars"]}) GROUP BY cluster_id)"""
+    lines = f"""
+      SELECT cluster_id, concat_ws(chr(10),
+        '# Cluster ' || cluster_id, 'Run: check', 'Size: ' || size, 'Coherence: ' || {_fixed("coherence", 3)},
+        'Strength median/IQR: ' || {_fixed("strength_median", 3)} || ' / ' || {_fixed("strength_iqr", 3)},
+        'Anchor coverage: ' || {_fixed("anchor_coverage", 2)} || ' (garbage ' || {_fixed("anchor_garbage_rate", 2)} || ')',
+        chr(10) || '## What it''s about', '### Description keywords', d.block, '### Hashtag keywords', t.block,
+        chr(10) || '## Entities/Anchors (typed)',
+        CASE WHEN anchor_coverage < 0.2 OR anchor_garbage_rate > 0.25
+             THEN 'Anchors withheld due to quality thresholds.' ELSE a.block END,
+        chr(10) || '## Sentiment',
+        coalesce('- mean polarity: ' || {_fixed("mean_polarity", 3)}, '- sentiment unavailable'),
+        chr(10) || '## Lexicon overlays (top contributing tokens)', coalesce(o.block, {plain}),
+        chr(10) || '## Exemplars', x.block) AS card_md
+      FROM flagged JOIN quantiles USING (cluster_id)
+      LEFT JOIN desc_lines d USING (cluster_id) LEFT JOIN tag_lines t USING (cluster_id)
+      LEFT JOIN anchor_lines a USING (cluster_id) LEFT JOIN overlay o USING (cluster_id)
+      LEFT JOIN moods USING (cluster_id) LEFT JOIN examples x USING (cluster_id)"""
+    shared = ",\n".join(f"{name} AS ({_CTES[name]})" for name in _needed(parts + lines))
+    return f"WITH {shared},{parts}{lines}"
+
+
+SQL["cards"] = _card_sql()
+
 # What is read back from a sink is what was written.
 for _sink, _query in {
     "sink_evidence": "prepare_evidence",

@@ -17,7 +17,7 @@ from clipsieve.functions import text
 from clipsieve.functions.arrays import explode_items
 from clipsieve.functions.dates import epoch_seconds, utc_date
 from clipsieve.operators import (
-    cards, clustering, entities, hooks, integrity, lexicon, noise, profiles, quantiles, reports, tfidf,
+    cards, clustering, entities, hooks, integrity, lexicon, noise, profiles, quantiles, reconcile, reports, tfidf,
 )
 from clipsieve.operators.embedding import embed as embed_stage
 from clipsieve.operators.evidence import insufficient, language_columns, prepare_evidence
@@ -581,6 +581,11 @@ def universe_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.universe_differences(_stages(spark, sf_dir))
 
 
+@query
+def universe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.differing_ids(_stages(spark, sf_dir))
+
+
 @query
 def gate_sample_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = members(spark, sf_dir)

@@ -15,6 +15,7 @@ from clipsieve.operators.evidence import Detector, constant_detector, prepare_ev
 from clipsieve.operators.hooks import Encoder, EntityModel, with_model_entities
 from clipsieve.operators.noise import token_noise_report
 from clipsieve.operators.profiles import build_profiles, missing_evidence
+from clipsieve.operators.reconcile import differing_ids
 from clipsieve.session import clear_stages, materialize, prepare_session
 from clipsieve.settings import Settings
 from clipsieve.sources import sinks
@@ -134,9 +135,9 @@ def _run(
     status, same_ids = gates.select("run_status", "hashes_match").first()
     differences = None
     if not same_ids:
-        differences = integrity.universe_differences(
-            {"evidence": evidence, "embeddings": embeddings, "entities_by_video": by_video, "clusters": clusters}
-        )
+        stages = {"evidence": evidence, "embeddings": embeddings, "entities_by_video": by_video, "clusters": clusters}
+        differences = integrity.universe_differences(stages)
+        table(differing_ids(stages), "universe_differences")
     report = reports.integrity_report(gates, metrics, dropped, settings, differences)
     sinks.write_report(report, f"{base}/integrity_report")
     if status == integrity.VALID:

@@ -129,6 +129,8 @@ def test_invalid_run_withholds_cards(spark, tmp_path):
     report = lines(tmp_path, "integrity_report")
     assert "- Gate1: universe hash mismatch" in report
     assert "- stage entities_by_video: 5 ids missing, 0 ids repeated" in report
+    listed = spark.read.parquet(str(tmp_path / "universe_differences")).collect()
+    assert sorted(tuple(row) for row in listed) == [(f"x{i}", "entities_by_video", 0, 1) for i in range(5)]
 
 
 def test_rows_left_out_are_reported(spark, tmp_path):
