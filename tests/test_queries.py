@@ -18,8 +18,8 @@ def connection():
     return duck(SF_DIR)
 
 
-def test_only_seeded_and_text_queries_lack_sql():
-    assert set(QUERIES) - set(SQL) == {"embed", "kmeans", "cluster", "cards"}
+def test_only_seeded_queries_lack_sql():
+    assert set(QUERIES) - set(SQL) == {"embed", "kmeans", "cluster"}
     assert set(SQL) <= set(QUERIES)
 
 
