@@ -684,15 +684,20 @@ QUERIES["cards"] = QUERIES.pop("operator_cards")
 # Embeddings and clusters
 
 
+def topic_rows(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """The evidence columns that the stages on vectors read, written once."""
+    return materialize(evidence_rows(spark, sf_dir).select("run_id", "video_id", "topic_text", *more))
+
+
 @query
 def embed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = embed_stage(materialize(evidence_rows(spark, sf_dir)), SETTINGS)
+    rows = embed_stage(topic_rows(spark, sf_dir), SETTINGS)
     return rows.select("video_id", F.size("embedding").cast("bigint").alias("dims"))
 
 
 @query
 def embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed_stage(materialize(evidence_rows(spark, sf_dir)), SETTINGS)
+    return embed_stage(topic_rows(spark, sf_dir), SETTINGS)
 
 
 @query
@@ -704,7 +709,7 @@ def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    evidence = materialize(evidence_rows(spark, sf_dir))
+    evidence = topic_rows(spark, sf_dir, "insufficient_topic_evidence")
     embeddings = materialize(embed_stage(evidence, SETTINGS))
     clusters, _ = clustering.cluster_embeddings(embeddings, evidence, SETTINGS)
     return clusters
@@ -748,7 +753,7 @@ def kmeans_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, those no longer than the unit vectors they come from, and whether the dimensions are uncorrelated
     and ordered by the length they keep."""
-    rows = materialize(embed_stage(materialize(evidence_rows(spark, sf_dir)), SETTINGS))
+    rows = materialize(embed_stage(topic_rows(spark, sf_dir), SETTINGS))
     length = F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x * x)
     inside = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(length <= 1 + 1e-9).alias("inside"))
     item = rows.select("embedding", F.posexplode("embedding").alias("i", "x"))
@@ -769,7 +774,7 @@ def embed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cluster_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, those with a cosine as strength, and whether each cluster has the flag that its metrics say."""
-    evidence = materialize(evidence_rows(spark, sf_dir))
+    evidence = topic_rows(spark, sf_dir, "insufficient_topic_evidence")
     embeddings = materialize(embed_stage(evidence, SETTINGS))
     clusters, found = clustering.cluster_embeddings(embeddings, evidence, SETTINGS)
     bucket = clustering.is_platform_bucket(F.col("pct_insufficient_topic"), F.col("coherence"))
@@ -878,7 +883,7 @@ def sink_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sink_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = embed_stage(materialize(evidence_rows(spark, sf_dir)), SETTINGS)
+    rows = embed_stage(topic_rows(spark, sf_dir), SETTINGS)
     stored = sinks.write_table(rows, _folder(spark))
     return stored.select("video_id", F.size("embedding").cast("bigint").alias("dims"))
 

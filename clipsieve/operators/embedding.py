@@ -19,48 +19,41 @@ from clipsieve.settings import Settings
 
 OVERSAMPLING = 10
 POWER_PASSES = 5
-# Non-zero entries handled at once within a task; bounds the temporary arrays.
-_CHUNK_ENTRIES = 32_768
+# Non-zero entries and rows handled at once within a task; bound the temporary arrays, and keep the dense cells of a
+# slice close to its entries, whether texts are long or short.
+_CHUNK_ENTRIES = 4096
+_CHUNK_ROWS = 32
 # Terms whose partial sums travel as one row.
 _BLOCK_TERMS = 64
-# Slices in which the tasks' sums of a block are added up first.
+# Slices in which the tasks' sums of a block are added up first, if there are more tasks.
 _SALTS = 64
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int, int]]:
-    """Slices ``(columns, values, row of each entry, first row, rows)`` of a batch of sparse rows."""
+def _chunks(batch: pa.RecordBatch, terms: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Slices ``(matrix, columns, first row)`` of a batch of sparse rows: a dense matrix of some rows and of the
+    columns that occur in them."""
     indices = batch.column(batch.schema.get_field_index("indices"))
     columns = indices.flatten().to_numpy(zero_copy_only=False)
     values = batch.column(batch.schema.get_field_index("values")).flatten().to_numpy(zero_copy_only=False)
-    ends = np.cumsum(indices.value_lengths().to_numpy(zero_copy_only=False))
+    lengths = indices.value_lengths().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    place = np.zeros(terms, dtype=np.int64)
     first, start = 0, 0
     while first < len(ends):
-        last = max(first + 1, int(np.searchsorted(ends, start + _CHUNK_ENTRIES, side="right")))
+        last = int(np.searchsorted(ends, start + _CHUNK_ENTRIES, side="right"))
+        last = min(max(first + 1, last), first + _CHUNK_ROWS)
         stop = int(ends[last - 1])
-        lengths = np.diff(ends[first:last], prepend=start)
-        yield (
-            columns[start:stop],
-            values[start:stop],
-            np.repeat(np.arange(last - first), lengths),
-            first,
-            last - first,
-        )
+        held = columns[start:stop]
+        seen = np.zeros(terms, dtype=bool)
+        seen[held] = True
+        used = np.flatnonzero(seen)
+        place[used] = np.arange(len(used))
+        matrix = np.zeros((last - first, len(used)))
+        matrix[np.repeat(np.arange(last - first), lengths[first:last]), place[held]] = values[start:stop]
+        yield matrix, used, first
         first, start = last, stop
 
 
-def _sum_by(keys: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
-    """Sums of ``rows`` per ascending key."""
-    total = np.zeros((count, rows.shape[1]))
-    if len(keys):
-        starts = np.flatnonzero(np.diff(keys, prepend=-1))
-        total[keys[starts]] = np.add.reduceat(rows, starts)
-    return total
-
-
-def _project_rows(basis: np.ndarray, columns: np.ndarray, values: np.ndarray, rows: np.ndarray, count: int):
-    return _sum_by(rows, basis[columns] * values[:, None], count)
-
-
 def _lists(matrix: np.ndarray) -> pa.ListArray:
     offsets = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
@@ -79,14 +72,8 @@ def _gram_product(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((blocks * _BLOCK_TERMS, width))
         for batch in batches:
-            for columns, values, rows, _, count in _chunks(batch):
-                projected = _project_rows(basis, columns, values, rows, count)
-                order = np.argsort(columns, kind="stable")
-                parts = projected[rows[order]] * values[order, None]
-                ordered = columns[order]
-                if len(ordered):
-                    starts = np.flatnonzero(np.diff(ordered, prepend=-1))
-                    total[ordered[starts]] += np.add.reduceat(parts, starts)
+            for matrix, columns, _ in _chunks(batch, terms):
+                total[columns] += matrix.T @ (matrix @ basis[columns])
         flat = total.reshape(blocks, _BLOCK_TERMS * width)
         touched = np.flatnonzero(flat.any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -94,13 +81,13 @@ def _gram_product(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
         )
 
     partial = vectors.select("indices", "values").mapInArrow(run, "block int, part array<double>")
-    # Two levels, so that no reducer gets a block from every task.
-    salted = partial.withColumn("_salt", F.spark_partition_id() % _SALTS)
-    for keys in (["block", "_salt"], ["block"]):
-        salted = salted.groupBy(*keys).agg(
+    # Two levels if there are many tasks, so that no reducer gets a block from every one.
+    levels = [["block", "_salt"], ["block"]] if vectors.rdd.getNumPartitions() > _SALTS else [["block"]]
+    summed = partial.withColumn("_salt", F.spark_partition_id() % _SALTS)
+    for keys in levels:
+        summed = summed.groupBy(*keys).agg(
             vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part")
         )
-    summed = salted
     product = np.zeros((blocks, _BLOCK_TERMS * width))
     for row in summed.collect():
         product[row["block"]] = row["part"]
@@ -130,8 +117,8 @@ def project(vectors: DataFrame, basis: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dense = np.zeros((batch.num_rows, basis.shape[1]))
-            for columns, values, rows, first, count in _chunks(batch):
-                dense[first : first + count] = _project_rows(basis, columns, values, rows, count)
+            for matrix, columns, first in _chunks(batch, len(basis)):
+                dense[first : first + len(matrix)] = matrix @ basis[columns]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(batch.schema.get_field_index("run_id")),
