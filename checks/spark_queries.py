@@ -6,9 +6,11 @@ Lists are shown as joined text and doubles are rounded, so that both engines giv
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -749,6 +751,27 @@ def kmeans_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.crossJoin(plain).select("n", "nearest", "strong", (F.col("cost") <= F.col("plain")).alias("cheap"))
 
 
+def _products(rows: DataFrame) -> DataFrame:
+    """``i, j, p``: the sum over all rows of the products of components ``i`` and ``j``. Tasks add up their rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            vectors = batch.column("embedding").drop_null()
+            if len(vectors):
+                matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+                found = matrix.T @ matrix
+                total = found if total is None else total + found
+        if total is not None:
+            i, j = np.indices(total.shape, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], names=["i", "j", "p"]
+            )
+
+    partial = rows.select("embedding").mapInArrow(run, "i int, j int, p double")
+    return partial.groupBy("i", "j").agg(F.sum("p").alias("p"))
+
+
 @query
 def embed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, those no longer than the unit vectors they come from, and whether the dimensions are uncorrelated
@@ -756,9 +779,7 @@ def embed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialize(embed_stage(topic_rows(spark, sf_dir), SETTINGS))
     length = F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x * x)
     inside = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(length <= 1 + 1e-9).alias("inside"))
-    item = rows.select("embedding", F.posexplode("embedding").alias("i", "x"))
-    products = item.select("i", F.posexplode(F.transform("embedding", lambda y: y * F.col("x"))).alias("j", "p"))
-    grams = products.groupBy("i", "j").agg(F.sum("p").alias("p"))  # dimensions squared
+    grams = materialize(_products(rows))  # dimensions squared
     diagonal = grams.where("i = j")
     ordered = diagonal.select(
         F.array_sort(F.collect_list(F.struct("i", "p"))).alias("own")

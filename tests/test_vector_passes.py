@@ -48,6 +48,17 @@ def test_pass_over_sparse_rows_is_the_gram_product(spark):
         assert np.allclose(embedding._gram_product(frame, basis), dense.T @ (dense @ basis))
 
 
+def test_products_of_components_are_summed_in_the_tasks(spark):
+    matrix = np.random.default_rng(4).normal(size=(500, 6))
+    rows = spark.createDataFrame([([float(x) for x in row],) for row in matrix], "embedding array<double>").repartition(4)
+    found = spark_queries._products(rows)
+    assert "Generate" not in plan(found)  # no row for each pair of components of each vector
+    gram = np.zeros((6, 6))
+    for row in found.collect():
+        gram[row["i"], row["j"]] = row["p"]
+    assert np.allclose(gram, matrix.T @ matrix)
+
+
 def test_stages_on_vectors_write_only_what_they_read(spark):
     rows = spark_queries.topic_rows(spark, "/root/testdata/sf0.001", "insufficient_topic_evidence")
     assert rows.columns == ["run_id", "video_id", "topic_text", "insufficient_topic_evidence"]
