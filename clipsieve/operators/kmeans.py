@@ -2,8 +2,8 @@
 
 The starts are chosen and brought close on a bounded sample, side by side in tasks. Then each pass reads all
 vectors once for all starts that still move: one matrix product per batch with the centers of all of them, and
-sums per center that are added up in the map tasks before the shuffle. What comes to the driver in a pass is
-starts x centers x dimensions numbers, whatever the number of rows.
+sums per center that are added up in the map tasks. What comes to the driver in a pass is starts x centers x
+dimensions numbers from ``_LINES`` tasks at most, whatever the number of rows; beyond that they are added up before.
 """
 
 from __future__ import annotations
@@ -25,7 +25,11 @@ from clipsieve.functions.vectors import unit_rows
 SAMPLE_ROWS = 16_384
 #: Passes over a sample or over all rows at most, and how far centers may move in the last one.
 MAX_PASSES, TOLERANCE = 300, 1e-4
-_ROWS_AT_ONCE = 4096
+_ROWS_AT_ONCE = 512
+#: Lines of so many tasks, for each start, come to the driver as they are.
+_LINES = 64
+#: Vectors that are kept as one value for the passes.
+_BLOCK_ROWS = 512
 
 
 @dataclass
@@ -58,20 +62,22 @@ def _sums(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
     nearest to each center, then the cost, in one line."""
     starts, k, dims = centers.shape
     out = np.zeros((starts, k * (dims + 1) + 1))
-    flat = centers.reshape(-1, dims)
-    half = (flat**2).sum(axis=1) / 2
+    flat = np.ascontiguousarray(centers.reshape(-1, dims).T)
+    half = (flat**2).sum(axis=0) / 2
+    first = np.arange(starts) * k
+    sums, counts = np.zeros((starts * k, dims)), np.zeros(starts * k)
     for at in range(0, len(rows), _ROWS_AT_ONCE):
         part = rows[at : at + _ROWS_AT_ONCE]
-        closeness = (part @ flat.T - half).reshape(len(part), starts, k)
-        nearest = closeness.argmax(axis=2)
-        lengths = (part**2).sum()
-        for s in range(starts):
-            own = nearest[:, s]
-            member = np.zeros((len(part), k))
-            member[np.arange(len(part)), own] = 1
-            out[s, : k * dims] += (member.T @ part).ravel()
-            out[s, k * dims : -1] += member.sum(axis=0)
-            out[s, -1] += lengths - 2 * closeness[np.arange(len(part)), s, own].sum()
+        closeness = part @ flat
+        closeness -= half
+        own = closeness.reshape(len(part), starts, k).argmax(axis=2) + first
+        member = np.zeros(closeness.shape)
+        np.put_along_axis(member, own, 1, axis=1)
+        sums += member.T @ part
+        counts += member.sum(axis=0)
+        out[:, -1] += (part**2).sum() - 2 * np.take_along_axis(closeness, own, axis=1).sum(axis=0)
+    out[:, : k * dims] = sums.reshape(starts, -1)
+    out[:, k * dims : -1] = counts.reshape(starts, k)
     return out
 
 
@@ -106,34 +112,53 @@ def _starts(sample: np.ndarray, k: int, seeds: list[int], vectors: DataFrame) ->
     return [np.frombuffer(found[i]).reshape(k, -1) for i in range(len(seeds))]
 
 
-def _pass(vectors: DataFrame, centers: np.ndarray) -> np.ndarray:
+def _blocks(vectors: DataFrame) -> DataFrame:
+    """``rows``: the vectors, some ``_BLOCK_ROWS`` of a task together as the bytes of their doubles, so that a pass
+    hands them on as they are. Dealt out evenly over the cores, as a small table may lie in a few files."""
+
+    def run(batches):
+        for batch in batches:
+            matrix = _matrix(batch.column("embedding"))
+            for at in range(0, len(matrix), _BLOCK_ROWS):
+                yield pa.RecordBatch.from_pydict({"rows": [matrix[at : at + _BLOCK_ROWS].tobytes()]})
+
+    blocks = vectors.select("embedding").mapInArrow(run, "rows binary")
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    return blocks.repartition(cores) if vectors.rdd.getNumPartitions() < cores else blocks
+
+
+def _pass(blocks: DataFrame, centers: np.ndarray) -> np.ndarray:
     """One reading of all vectors: the lines of ``_sums`` for each start."""
     kind = pa.schema([("start", pa.int32()), ("line", pa.list_(pa.float64()))])
 
     def run(batches):
         total = None
         for batch in batches:
-            rows = _matrix(batch.column("embedding"))
-            if len(rows):
-                found = _sums(rows, centers)
+            for block in batch.column("rows"):
+                found = _sums(np.frombuffer(block.as_buffer()).reshape(-1, centers.shape[2]), centers)
                 total = found if total is None else total + found
         if total is not None:
             lines = [pa.array(range(len(total)), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(lines, schema=kind)
 
-    partial = vectors.mapInArrow(run, "start int, line array<double>")
-    summed = partial.groupBy("start").agg(vector_to_array(Summarizer.sum(array_to_vector("line"))).alias("line"))
-    return np.array([r["line"] for r in sorted(summed.collect(), key=lambda r: r["start"])])
+    partial = blocks.mapInArrow(run, "start int, line array<double>")
+    if blocks.rdd.getNumPartitions() > _LINES:  # else a second stage takes longer than what it saves
+        partial = partial.groupBy("start").agg(vector_to_array(Summarizer.sum(array_to_vector("line"))).alias("line"))
+    lines = partial.toArrow()
+    total = np.zeros((len(centers), centers[0].size + len(centers[0]) + 1))
+    np.add.at(total, lines["start"].to_numpy(), _matrix(lines["line"].combine_chunks()))
+    return total
 
 
 def fit(embeddings: DataFrame, k: int, seeds: list[int], sample_rows: int = SAMPLE_ROWS) -> KMeansFit:
     """The cheapest of the fits that begin with each seed, with ``min(k, rows)`` centers, at least one.
 
     Takes ``video_id, embedding``, all vectors of one length. The vectors are kept in memory and on disk for the
-    passes. A start whose centers move by ``TOLERANCE`` at most leaves the following passes. Equal costs go to
+    passes, in blocks. A start whose centers move by ``TOLERANCE`` at most leaves the following passes. Equal costs go to
     the earlier seed. Without rows the one center has no dimensions.
     """
     vectors = embeddings.select("video_id", "embedding").persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = None
     try:
         n = vectors.count()
         if not n:
@@ -145,9 +170,11 @@ def fit(embeddings: DataFrame, k: int, seeds: list[int], sample_rows: int = SAMP
         starts = _starts(sample, k, seeds, vectors)
         fits = [KMeansFit(centers, np.inf, 0) for centers in starts]
         moving = list(range(len(fits)))
-        only = vectors.select("embedding")
+        blocks = _blocks(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+        blocks.count()
+        vectors.unpersist()
         while moving and fits[moving[0]].passes < MAX_PASSES:
-            lines = _pass(only, np.stack([fits[s].centers for s in moving]))
+            lines = _pass(blocks, np.stack([fits[s].centers for s in moving]))
             still = []
             for s, line in zip(moving, lines):
                 new, far, cost = _moved(fits[s].centers, line)
@@ -158,6 +185,8 @@ def fit(embeddings: DataFrame, k: int, seeds: list[int], sample_rows: int = SAMP
         return min(fits, key=lambda f: f.cost)
     finally:
         vectors.unpersist()
+        if blocks is not None:
+            blocks.unpersist()
 
 
 def nearest_and_strength(embedding: Column, centers: np.ndarray) -> Column:

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 from checks import spark_queries
-from clipsieve.operators import embedding
+from clipsieve.operators import embedding, kmeans
 
 
 def plan(rows):
@@ -62,3 +62,30 @@ def test_products_of_components_are_summed_in_the_tasks(spark):
 def test_stages_on_vectors_write_only_what_they_read(spark):
     rows = spark_queries.topic_rows(spark, "/root/testdata/sf0.001", "insufficient_topic_evidence")
     assert rows.columns == ["run_id", "video_id", "topic_text", "insufficient_topic_evidence"]
+
+
+def test_vectors_are_dealt_out_in_blocks(spark):
+    matrix = np.random.default_rng(5).normal(size=(3000, 5))
+    data = [(str(i), [float(x) for x in row]) for i, row in enumerate(matrix)]
+    frame = spark.createDataFrame(data, "video_id string, embedding array<double>").coalesce(1)
+    blocks = kmeans._blocks(frame)
+    assert blocks.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    held = [np.frombuffer(r["rows"]).reshape(-1, 5) for r in blocks.collect()]
+    assert max(map(len, held)) <= kmeans._BLOCK_ROWS
+    assert sorted(map(tuple, np.concatenate(held))) == sorted(map(tuple, matrix))
+
+
+def test_pass_is_the_same_from_few_and_many_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    matrix, centers = rng.normal(size=(2000, 5)), rng.normal(size=(3, 7, 5))
+    data = [(str(i), [float(x) for x in row]) for i, row in enumerate(matrix)]
+    blocks = kmeans._blocks(spark.createDataFrame(data, "video_id string, embedding array<double>"))
+    few = kmeans._pass(blocks, centers)
+    monkeypatch.setattr(kmeans, "_LINES", 1)
+    assert np.allclose(kmeans._pass(blocks, centers), few)
+    for start, line in zip(centers, few):
+        apart = ((matrix[:, None] - start) ** 2).sum(axis=2)
+        own = apart.argmin(axis=1)
+        assert np.allclose(line[:35].reshape(7, 5), [matrix[own == c].sum(axis=0) for c in range(7)])
+        assert (line[35:-1] == np.bincount(own, minlength=7)).all()
+        assert np.isclose(line[-1], apart.min(axis=1).sum())
