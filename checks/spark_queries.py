@@ -23,7 +23,6 @@ from clipsieve.operators import (
 )
 from clipsieve.operators.embedding import embed as embed_stage
 from clipsieve.operators.evidence import insufficient, language_columns, prepare_evidence
-from clipsieve.functions.vectors import cosine
 from clipsieve.session import materialize, prepare_session, stage_root
 from clipsieve.sources import posts, sinks
 from clipsieve.sources.colocated import write_colocated
@@ -724,8 +723,31 @@ def _squared(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x)
 
 
-def _literal(vectors) -> Column:
-    return F.array(*[F.array(*[F.lit(float(x)) for x in vector]) for vector in vectors])
+def _judged(placed: DataFrame, centers: np.ndarray) -> DataFrame:
+    """``strength, own, least, best``: squared distances to the own and to the nearest center, and the largest
+    cosine, from the differences and products themselves."""
+    lengths = np.linalg.norm(centers, axis=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array(batch.column("embedding").flatten(), dtype=float).reshape(batch.num_rows, -1)
+            own, least, best = np.empty(len(rows)), np.empty(len(rows)), np.empty(len(rows))
+            cluster = batch.column("cluster_id").to_numpy()
+            for at in range(0, len(rows), 256):
+                part = rows[at : at + 256]
+                apart = ((part[:, None] - centers) ** 2).sum(axis=2)
+                product = np.linalg.norm(part, axis=1)[:, None] * lengths
+                cosines = np.divide(part @ centers.T, product, out=np.zeros_like(product), where=product > 0)
+                place = slice(at, at + len(part))
+                own[place] = apart[np.arange(len(part)), cluster[place]]
+                least[place], best[place] = apart.min(axis=1), cosines.max(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("strength"), pa.array(own), pa.array(least), pa.array(best)],
+                names=["strength", "own", "least", "best"],
+            )
+
+    columns = placed.select("cluster_id", "strength", "embedding")
+    return columns.mapInArrow(run, "strength double, own double, least double, best double")
 
 
 @query
@@ -734,19 +756,15 @@ def kmeans_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     no more than the means of the given labels."""
     labelled = materialize(members(spark, sf_dir))
     model = clustering.fit_kmeans(labelled.drop("cluster_id"), SETTINGS)
-    centers = _literal(model.centers)  # at most clustering_k
     placed = clustering.assign(labelled.drop("cluster_id"), model)
-    apart = F.transform(centers, lambda c: _squared(F.col("embedding").cast("array<double>"), c))
-    cosines = F.transform(centers, lambda c: cosine(F.col("embedding"), c))
-    judged = placed.select("cluster_id", "strength", apart.alias("apart"), F.array_max(cosines).alias("best"))
-    own = F.col("apart")[F.col("cluster_id")]
-    found = judged.agg(
+    found = _judged(placed, model.centers).agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(own <= F.array_min("apart") + 1e-9).alias("nearest"),
+        F.count_if(F.col("own") <= F.col("least") + 1e-9).alias("nearest"),
         F.count_if(F.abs(F.col("strength") - F.col("best")) <= 1e-6).alias("strong"),
-        F.sum(own).alias("cost"),
+        F.sum("own").alias("cost"),
     )
-    means = labelled.join(clustering.centroids(labelled), "cluster_id")
+    # Written first: the planner knows how few they are, and does not deal the rows out by a few labels.
+    means = labelled.join(materialize(clustering.centroids(labelled)), "cluster_id")
     plain = means.agg(F.sum(_squared(F.col("embedding").cast("array<double>"), F.col("centroid"))).alias("plain"))
     return found.crossJoin(plain).select("n", "nearest", "strong", (F.col("cost") <= F.col("plain")).alias("cheap"))
 

@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 
 from checks import spark_queries
-from clipsieve.operators import embedding, kmeans
+from clipsieve import Settings
+from clipsieve.operators import clustering, embedding, kmeans
 
 
 def plan(rows):
@@ -89,3 +90,18 @@ def test_pass_is_the_same_from_few_and_many_tasks(spark, monkeypatch):
         assert np.allclose(line[:35].reshape(7, 5), [matrix[own == c].sum(axis=0) for c in range(7)])
         assert (line[35:-1] == np.bincount(own, minlength=7)).all()
         assert np.isclose(line[-1], apart.min(axis=1).sum())
+
+
+def test_placed_rows_are_judged_as_numpy_does(spark):
+    rng = np.random.default_rng(2)
+    matrix = rng.normal(size=(600, 4))
+    matrix[0] = 0
+    data = [("r", str(i), [float(x) for x in row]) for i, row in enumerate(matrix)]
+    frame = spark.createDataFrame(data, "run_id string, video_id string, embedding array<double>")
+    model = clustering.fit_kmeans(frame, Settings(clustering_k=5, kmeans_starts=2))
+    judged = spark_queries._judged(clustering.assign(frame, model), model.centers)
+    assert "aggregate(" not in plan(judged).lower()  # no lambda for each component
+    apart = ((matrix[:, None] - model.centers) ** 2).sum(axis=2).min(axis=1)
+    rows = judged.collect()
+    assert np.allclose(sorted(r["least"] for r in rows), sorted(apart))
+    assert all(abs(r["own"] - r["least"]) < 1e-9 and abs(r["best"] - r["strength"]) < 1e-9 for r in rows)
