@@ -73,8 +73,9 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles of the given clusters; evidence and mentions are written once, as in a full run."""
-    evidence = materialize(evidence_rows(spark, sf_dir))
+    """Profiles of the given clusters; evidence and mentions are written once, as in a full run. No profile reads
+    the lexicon's columns."""
+    evidence = materialize(evidence_rows(spark, sf_dir).drop("lex_tokens", "noise_hits"))
     mentions = materialize(entities.mentions(entities.candidates(evidence, SETTINGS)))
     rows = members(spark, sf_dir)
     return profiles.build_profiles(

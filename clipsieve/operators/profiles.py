@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clipsieve.functions.vectors import ratio
 from clipsieve.operators.ranking import top_n
 from clipsieve.operators.tfidf import cluster_keywords, default_stop_words, keyword_lists
-from clipsieve.session import materialize
+from clipsieve.session import deal_out, materialize
 from clipsieve.settings import Settings
 
 ANCHOR_LIMIT = 10
@@ -139,8 +139,9 @@ def build_profiles(
     """One row per cluster. Every part is aggregated before it is joined, so the joins see one row
     per cluster and side."""
     words = default_stop_words() if stop_words is None else stop_words
-    # Joined once; the vocabulary, the weights and the text lengths are all taken from what is written.
-    texts = materialize(cluster_texts(clusters, evidence))
+    # Joined once; the vocabulary, the weights and the text lengths are all taken from what is written. Dealt out
+    # without a key: by that of the join, the planner would leave the rows where the join put them.
+    texts = materialize(deal_out(cluster_texts(clusters, evidence)))
     listed = anchors(clusters, mentions)
     parts = [
         metrics.select(

@@ -18,7 +18,7 @@ from clipsieve.functions import text
 from clipsieve.functions.arrays import is_any_of
 from clipsieve.operators import heavy
 from clipsieve.operators.ranking import top_n
-from clipsieve.session import materialize
+from clipsieve.session import deal_out, materialize
 from clipsieve.settings import Settings
 
 KEYWORD_LIMIT = 15
@@ -170,7 +170,7 @@ def cluster_keywords(
         )
     )
     known = materialize(known)
-    dealt = _cluster_terms(texts.repartition("video_id"), stop_words)
+    dealt = _cluster_terms(deal_out(texts, "video_id"), stop_words)
     weighted = dealt.join(known, ["cluster_id", "view", "term"]).withColumn(
         "weight", F.col("n") * F.col("idf")
     )

@@ -75,3 +75,14 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{stage_root(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def deal_out(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out, by ``keys`` if there are any, to as many tasks as the session shuffles into, at least one for each core.
+
+    For texts whose work is large beside their bytes: left to the planner, which goes by bytes, they would end in a
+    few tasks.
+    """
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, *keys)
