@@ -60,8 +60,13 @@ def test_products_of_components_are_summed_in_the_tasks(spark):
     assert np.allclose(gram, matrix.T @ matrix)
 
 
-def test_stages_on_vectors_write_only_what_they_read(spark):
-    rows = spark_queries.topic_rows(spark, "/root/testdata/sf0.001", "insufficient_topic_evidence")
+def test_stages_on_vectors_write_only_what_they_read(spark, tmp_path):
+    documents = spark.createDataFrame(
+        [(i, f"red car {i}", "en", "web") for i in range(5)], "doc_id bigint, text string, lang string, source string"
+    )
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = spark_queries.topic_rows(spark, str(tmp_path), "insufficient_topic_evidence")
+    assert rows.count() == 5
     assert rows.columns == ["run_id", "video_id", "topic_text", "insufficient_topic_evidence"]
 
 
